@@ -49,14 +49,20 @@ def melt_headers(
     """Wide to long where a header carries keys, such as a year and a metric.
 
     ``parse`` turns each header into its keys once, while the plan is built, so no row
-    pays for parsing text that only exists in the header.
+    pays for parsing text that only exists in the header. Values are exploded by position
+    and the keys looked up there, which keeps the generated code small for sheets with
+    hundreds of columns.
     """
-    cells = [
-        F.struct(*[F.lit(v).alias(k) for k, v in parse(c).items()], to_number(c).alias(value_to))
-        for c in values
-    ]
-    long = df.select(*[as_col(c) for c in ids], F.inline(F.array(*cells)))
-    return long.filter(F.col(value_to).isNotNull()) if drop_null else long
+    values = list(values)
+    keys = [parse(c) for c in values]
+    cells = F.posexplode(F.array(*[to_number(c) for c in values])).alias("__at", value_to)
+    long = df.select(*[as_col(c) for c in ids], cells)
+    if drop_null:
+        long = long.filter(F.col(value_to).isNotNull())
+    lookups = {
+        name: F.get(F.array(*[F.lit(k[name]) for k in keys]), F.col("__at")) for name in keys[0]
+    }
+    return long.select(*[as_col(c) for c in ids], *[c.alias(n) for n, c in lookups.items()], value_to)
 
 
 def spread(

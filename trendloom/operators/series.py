@@ -108,13 +108,13 @@ def share_of_label(
     value: str = "estimate",
     name: str = "share",
 ) -> DataFrame:
-    """Each row's part of the group's own total row, that row included."""
-    total = F.max(F.when(as_col(label) == total_label, as_col(value)))
-    return (
-        with_group_values(df, keys, __total=total)
-        .withColumn(name, safe_ratio(value, "__total"))
-        .drop("__total")
-    )
+    """Each row's part of the group's own total row, that row included.
+
+    ``df`` holds one row per key and label, so a window holds one row per label.
+    """
+    group = Window.partitionBy(*[as_col(k) for k in keys])
+    total = F.max(F.when(as_col(label) == total_label, as_col(value))).over(group)
+    return df.withColumn(name, safe_ratio(value, total))
 
 
 def wide_shares(df: DataFrame, ids: Sequence[str], parts: Mapping[str, str], total: str) -> DataFrame:

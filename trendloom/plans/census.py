@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from trendloom.functions.text import geoid
 from trendloom.operators.aggregate import moe_sum
 from trendloom.operators.series import share_of_label
-from trendloom.schema import conform
+from trendloom.schema import conform, union_trends
 from trendloom.sources.lookups import ACS_TOPICS, acs_lookup
 
 _KEYS = ["topic", "year", "census_geography", "name", "label"]
@@ -77,11 +77,8 @@ def acs_trends(
         .distinct()
     )
     summed = moe_sum(placed.unionByName(metro_cells.select(*_CELL)), _KEYS)
-    shared = share_of_label(
-        summed.unionByName(unseen, allowMissingColumns=True), _KEYS[:-1], "label"
-    )
     return conform(
-        shared,
+        union_trends(share_of_label(summed, _KEYS[:-1], "label"), unseen),
         date=F.make_date(F.col("year").cast("int"), F.lit(12), F.lit(1)),
         geography=F.col("name"),
         geography_type=F.col("census_geography"),

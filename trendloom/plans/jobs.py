@@ -58,8 +58,9 @@ def monthly_jobs(wide: DataFrame, yr: int, mo: int, filter_months: bool = False)
     in_region = not_in("geography", [STATE_AREA])
     areas = jobs_long(wide)
     keys = ["geography", "variable"]
-    regional = sum_by(areas.filter(in_region), ["variable", "date"]).withColumn("geography", F.lit("Region"))
-    monthly = areas.unionByName(regional).withColumn("grouping", F.lit("Monthly"))
+    monthly = region_rollup(areas, ["variable", "date"], members=in_region).withColumn(
+        "grouping", F.lit("Monthly")
+    )
     yearly = period_summary(
         areas, keys, complete_through=yr if mo == 12 else yr - 1, cutoff_month=mo, filter_months=filter_months
     )

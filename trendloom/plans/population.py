@@ -127,11 +127,14 @@ def geography_hierarchy(df: DataFrame, jurisdictions: DataFrame) -> DataFrame:
     )
 
 
-def _levels_and_changes(df: DataFrame, jurisdictions: DataFrame, metric: Column, keys: Sequence[str]) -> DataFrame:
+def _levels_and_changes(
+    rows: DataFrame, jurisdictions: DataFrame, metric: Column, keys: Sequence[str] = ()
+) -> DataFrame:
     """Annual rows of every year, change rows of every year but the first."""
-    first_year = df.agg(F.min("year")).scalar()
+    first_year = rows.agg(F.min("year")).scalar()
+    places = with_region_levels(sum_by(rows, ["level", "place", "year", *keys]), ["year", *keys])
     series = level_and_change(
-        df, ["level", "place", *keys], "year", {"estimate": "estimate"}, drop=None
+        places, ["level", "place", *keys], "year", {"estimate": "estimate"}, drop=None
     ).filter((F.col("grouping") == "Annual") | (F.col("year") > first_year))
     return conform(
         geography_hierarchy(series.withColumn("metric", metric), clean_jurisdictions(jurisdictions)),
@@ -151,8 +154,7 @@ def population_trends(
     ``segments`` come from ``population_segment``; ``forecast`` has pop_group_dim_id,
     data_year and population.
     """
-    places = with_region_levels(vintage_union(*segments), ["year"])
-    observed = _levels_and_changes(places, jurisdictions, F.lit("Population"), [])
+    observed = _levels_and_changes(union_trends(*segments), jurisdictions, F.lit("Population"))
     future = forecast.filter(
         (F.col("pop_group_dim_id") == forecast_group) & (F.col("data_year") > forecast_after)
     )
@@ -171,7 +173,7 @@ def housing_long(wide: DataFrame, counties: Sequence[str] = HOME_COUNTIES) -> Da
         }
 
     used = drop_containing(wide, "1980")
-    long = melt_headers(
+    return melt_headers(
         used.filter(F.col("County").isin(*counties)).withColumns(
             {
                 "level": to_number("Filter"),
@@ -182,7 +184,6 @@ def housing_long(wide: DataFrame, counties: Sequence[str] = HOME_COUNTIES) -> Da
         columns_containing(used, "Housing"),
         keys,
     )
-    return sum_by(long, ["level", "place", "year", "unit_type"])
 
 
 def housing_trends(
@@ -195,8 +196,9 @@ def housing_trends(
 
     ``forecast`` has Year and Forecast; its first year keeps its level.
     """
-    places = with_region_levels(housing_long(wide, counties), ["year", "unit_type"])
-    observed = _levels_and_changes(places, jurisdictions, F.col("unit_type"), ["unit_type"])
+    observed = _levels_and_changes(
+        housing_long(wide, counties), jurisdictions, F.col("unit_type"), ["unit_type"]
+    )
     return union_trends(
         observed,
         conform(forecast_series(forecast, "Year", "Forecast", "Housing Units", drop_first=False)),

@@ -68,7 +68,7 @@ def sum_by_keys(spark, sf):
 
 
 @registered("""
-    SELECT l_linestatus, sum(l_quantity) AS l_quantity, sum(l_linenumber) AS l_linenumber
+    SELECT l_linestatus, sum(l_quantity) AS l_quantity, CAST(sum(l_linenumber) AS DOUBLE) AS l_linenumber
     FROM {lineitem} GROUP BY l_linestatus
 """)
 def sum_rest(spark, sf):
@@ -740,7 +740,7 @@ def distinct_rows(spark, sf):
     SELECT CAST(year(d) AS STRING) AS year, d AS date, 'Orders' AS geography, 'Table' AS geography_type, variable,
            'All' AS grouping, 'rows' AS metric, CAST(n AS DOUBLE) AS estimate, share, CAST(NULL AS DOUBLE) AS moe
     FROM (
-        SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS d, o_orderstatus AS variable, count(*) AS n, 0.5 AS share
+        SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS d, o_orderstatus AS variable, count(*) AS n, CAST(0.5 AS DOUBLE) AS share
         FROM {orders} GROUP BY 1, 2
         UNION ALL
         SELECT CAST(date_trunc('month', l_shipdate) AS DATE), l_linestatus, count(*), NULL FROM {lineitem} GROUP BY 1, 2
