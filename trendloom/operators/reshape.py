@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, functions as F
@@ -38,6 +39,14 @@ def melt(
     return long.filter(F.col(value_to).isNotNull()) if drop_null else long
 
 
+def _sql_literal(value: str | dt.date | None) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, dt.date):
+        return f"DATE'{value.isoformat()}'"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def melt_headers(
     df: DataFrame,
     ids: Sequence[str],
@@ -55,12 +64,15 @@ def melt_headers(
     """
     values = list(values)
     keys = [parse(c) for c in values]
-    cells = F.posexplode(F.array(*[to_number(c) for c in values])).alias("__at", value_to)
+    # One expression text for all columns: building them one by one is slow in Python.
+    numbers = ", ".join(f"try_cast(`{c.replace('`', '``')}` AS DOUBLE)" for c in values)
+    cells = F.posexplode(F.expr(f"array({numbers})")).alias("__at", value_to)
     long = df.select(*[as_col(c) for c in ids], cells)
     if drop_null:
         long = long.filter(F.col(value_to).isNotNull())
     lookups = {
-        name: F.get(F.array(*[F.lit(k[name]) for k in keys]), F.col("__at")) for name in keys[0]
+        name: F.expr(f"get(array({', '.join(_sql_literal(k[name]) for k in keys)}), __at)")
+        for name in keys[0]
     }
     return long.select(*[as_col(c) for c in ids], *[c.alias(n) for n, c in lookups.items()], value_to)
 

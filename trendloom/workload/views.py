@@ -8,6 +8,7 @@ or for another view. Wide inputs are pivoted from a long view on the Spark side
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import string
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -235,14 +236,19 @@ def tables_in(text: str) -> list[str]:
     return list(dict.fromkeys(name for _, name, _, _ in string.Formatter().parse(text) if name))
 
 
+@functools.lru_cache(maxsize=256)
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table; the footers behind its schema are read once per session."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@functools.lru_cache(maxsize=256)
 def view(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A table or view as a DataFrame."""
     if name in TABLES:
         return table(spark, folder, name)
+    if name in ONE_SCAN:
+        return ONE_SCAN[name](spark, folder)
     return query(spark, folder, VIEWS[name])
 
 
@@ -250,6 +256,48 @@ def query(spark: SparkSession, folder: str, text: str) -> DataFrame:
     return spark.sql(text, **{n: view(spark, folder, n) for n in tables_in(text)})
 
 
+def _place_levels(spark: SparkSession, folder: str) -> DataFrame:
+    orders = view(spark, folder, "place_orders")
+    unincorporated, city = F.col("status") == "P", F.col("city")
+    part = F.when(F.col("priority") == "1-URGENT", F.concat(city, F.lit(" (part)"))).otherwise(city)
+
+    def row(level: int, place, applies=None):
+        made = F.struct(F.lit(level).alias("level"), place.alias("place"))
+        return made if applies is None else F.when(applies, made)
+
+    rows = F.array(
+        row(1, F.lit("")),
+        row(2, F.lit("Unincorporated"), unincorporated),
+        row(3, F.lit("Incorporated"), ~unincorporated),
+        row(4, part, ~unincorporated),
+    )
+    return (
+        orders.select("county", "year", "priority", F.explode(rows).alias("at"))
+        .filter(F.col("at").isNotNull())
+        .select("at.level", "county", "at.place", "year", "priority")
+    )
+
+
+def _jobs_by_industry(spark: SparkSession, folder: str) -> DataFrame:
+    kind = F.col("p_type")
+    names = {
+        "ECONOMY": " Information", "MEDIUM": "Financial Activities ", "LARGE": "Leisure and Hospitality",
+        "SMALL": "Government", "STANDARD": "Mining, Logging, and Construction",
+    }
+    listed = F.element_at(F.create_map(*[F.lit(x) for kv in names.items() for x in kv]), kind)
+    private = F.when(kind.isin("ECONOMY", "MEDIUM", "LARGE", "PROMO"), F.lit("Private Service Providing"))
+    return (
+        view(spark, folder, "job_rows")
+        .select("area", "date", "jobs", F.explode(F.array_compact(F.array(listed, private))).alias("industry"))
+        .groupBy("area", "industry", "date")
+        .agg(F.sum("jobs").alias("estimate"))
+    )
+
+
+# Views whose SQL stacks several scans of one table, built from a single scan instead.
+ONE_SCAN = {"place_levels": _place_levels, "jobs_by_industry": _jobs_by_industry}
+
+
 def with_views(text: str) -> str:
     """A check query with the views it needs as common table expressions in front."""
     needed: list[str] = []
@@ -294,7 +342,7 @@ def jobs_wide(spark: SparkSession, folder: str) -> DataFrame:
 
 def population_wide(spark: SparkSession, folder: str, layout: str, first: int, last: int) -> DataFrame:
     """One vintage of the population table in its publisher's layout."""
-    places = view(spark, folder, "place_levels")
+    places = view(spark, folder, "place_levels").filter(F.col("year").between(first, last))
     county, place = F.col("county"), F.col("place")
     if layout == "latest":
         named = F.when(F.col("level") == 1, F.concat(county, F.lit(" County"))).when(
