@@ -11,6 +11,8 @@ def spark(tmp_path_factory):
         spark__sql__shuffle__partitions=4,
         spark__ui__enabled="false",
         spark__driver__memory="8g",
+        spark__sql__debug__maxToStringFields=100000,
+        spark__sql__maxMetadataStringLength=100000,
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )
     session.sparkContext.setLogLevel("ERROR")

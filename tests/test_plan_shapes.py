@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_point
 from trendloom.operators import aggregate, joins, series
 from trendloom.plans import near_transit, vehicles
+from trendloom.session import broadcast_if_small, stage
 from trendloom.workload.views import view
 
 FOLDER = "/root/testdata/sf0.001"
@@ -48,7 +49,6 @@ def test_no_python_and_no_product_join(spark, name):
     ],
 )
 def test_source_is_not_read_again(spark, name, table, most):
-    spark.conf.set("spark.sql.debug.maxToStringFields", "100000")
     plan = final_plan(entry_point.queries()[name](spark, FOLDER))
     assert 1 <= scans(plan, table) <= most
 
@@ -58,7 +58,7 @@ def test_filters_and_columns_reach_the_scan(spark, tmp_path):
     view(spark, FOLDER, "titles").write.parquet(path)
     titles = spark.read.parquet(path)
     plan = vehicles.title_transactions(titles)._jdf.queryExecution().executedPlan().toString()
-    pushed = re.search(r"PushedFilters: \[([^\]]*)\]", plan).group(1)
+    pushed = re.search(r"PushedFilters: \[(.*?)\], ReadSchema", plan).group(1)
     assert "EqualTo(transaction_type,Original Title)" in pushed and "new_or_used" in pushed
     assert "make" not in re.search(r"ReadSchema: struct<([^>]*)>", plan).group(1)
     makes = vehicles.titles_by_make(titles)._jdf.queryExecution().executedPlan().toString()
@@ -121,6 +121,14 @@ def test_share_of_a_hot_group_gathers_no_rows(spark, shuffled_joins):
     assert got.filter("k = -1").agg(F.sum("share")).first()[0] == pytest.approx(1.0)
 
 
+def test_staged_groups_are_broadcast_when_few_and_shuffled_when_many(spark, shuffled_joins):
+    df = spark.range(0, 90_000, 1, 8).selectExpr("id % 3 AS k", "id AS u", "cast(1 AS double) AS estimate")
+    few = final_plan(series.share_of_total(df, ["k"], staged=True))
+    assert "BroadcastHashJoin" in few and "Exchange hashpartitioning" not in few
+    staged = stage(df.select("u"))
+    assert "broadcast" not in broadcast_if_small(staged, 10)._jdf.queryExecution().logical().toString().lower()
+
+
 def test_lookup_is_broadcast_only_when_small(spark):
     df = spark.range(1000).selectExpr("id AS k")
     lookup = spark.createDataFrame([(1, "a")], "code long, label string")

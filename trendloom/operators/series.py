@@ -91,10 +91,15 @@ def forecast_series(
     )
 
 
-def share_of_total(df: DataFrame, keys: Sequence[str], value: str = "estimate", name: str = "share") -> DataFrame:
-    """Each row's part of its group's sum; NULL when the sum is zero or unknown."""
+def share_of_total(
+    df: DataFrame, keys: Sequence[str], value: str = "estimate", name: str = "share", staged: bool = False
+) -> DataFrame:
+    """Each row's part of its group's sum; NULL when the sum is zero or unknown.
+
+    ``staged`` suits detail rows in few groups, see ``with_group_values``.
+    """
     return (
-        with_group_values(df, keys, __total=na_sum(value))
+        with_group_values(df, keys, staged, __total=na_sum(value))
         .withColumn(name, safe_ratio(value, "__total"))
         .drop("__total")
     )

@@ -17,8 +17,8 @@ from trendloom.operators.series import share_of_label
 from trendloom.schema import conform, union_trends
 from trendloom.sources.lookups import ACS_TOPICS, acs_lookup
 
-_KEYS = ["topic", "year", "census_geography", "name", "label"]
-_CELL = ["topic", "year", "census_geography", "name", "label", "estimate", "moe"]
+_PLACE = ["topic", "year", "census_geography", "name"]
+_CELL = ["year", "census_geography", "name", "variable", "estimate", "moe"]
 
 
 def label_and_consolidate(
@@ -57,28 +57,24 @@ def acs_trends(
     topics = list(topics) if topics is not None else list(ACS_TOPICS)
     if lookup is None:
         lookup = acs_lookup(acs.sparkSession, topics)
-    labels = lookup.filter(F.col("topic").isin(*topics)).withColumnRenamed("simple_label", "label")
+    lookup = lookup.filter(F.col("topic").isin(*topics))
 
-    placed = (
-        acs.filter(F.col("year").isin(*years) & F.col("census_geography").isin("County", "Region", "City"))
-        .join(labels, "variable")
-        .select(*_CELL)
-    )
+    wanted = F.col("year").isin(*years)
+    places = acs.filter(wanted & F.col("census_geography").isin("County", "Region", "City"))
     members = _with_years(counties, years)
-    in_metro = metro.filter(F.col("year").isin(*years)).join(labels, "variable")
-    metro_cells = in_metro.join(members, ["GEOID", "year"]).withColumn(
-        "census_geography", F.lit("Metro Areas")
+    areas = metro.join(members, ["GEOID", "year"]).withColumn("census_geography", F.lit("Metro Areas"))
+    summed = label_and_consolidate(
+        places.select(*_CELL).unionByName(areas.select(*_CELL)), lookup, _PLACE
     )
-    seen = in_metro.select("GEOID", "year", "topic").distinct()
+    seen = metro.filter(wanted).join(lookup, "variable").select("GEOID", "year", "topic").distinct()
     unseen = (
         members.withColumn("topic", F.explode(F.array(*[F.lit(t) for t in topics])))
         .join(seen, ["GEOID", "year", "topic"], "left_anti")
         .select("topic", "year", F.lit("Metro Areas").alias("census_geography"), "name")
         .distinct()
     )
-    summed = moe_sum(placed.unionByName(metro_cells.select(*_CELL)), _KEYS)
     return conform(
-        union_trends(share_of_label(summed, _KEYS[:-1], "label"), unseen),
+        union_trends(share_of_label(summed, _PLACE, "label"), unseen),
         date=F.make_date(F.col("year").cast("int"), F.lit(12), F.lit(1)),
         geography=F.col("name"),
         geography_type=F.col("census_geography"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def build_session(master: str | None = None, app: str = "trendloom", **conf) -> SparkSession:
@@ -22,7 +22,12 @@ def build_session(master: str | None = None, app: str = "trendloom", **conf) ->
     settings.update({k.replace("__", "."): str(v) for k, v in conf.items()})
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if "spark.sql.shuffle.partitions" not in settings:
+        # Start wide on a large cluster; AQE merges what turns out small.
+        parts = max(200, 3 * spark.sparkContext.defaultParallelism)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(parts))
+    return spark
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -42,6 +47,14 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def broadcast_if_small(staged: DataFrame, most_rows: int = 500_000) -> DataFrame:
+    """Broadcast a staged table that has few rows; leave a larger one to a shuffle join.
+
+    Counting reads the written copy, not what it was computed from.
+    """
+    return F.broadcast(staged) if staged.count() <= most_rows else staged
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write a table to the shared folder now and go on from the written copy.
 

@@ -217,7 +217,3 @@ def acs_lookup(spark: SparkSession, topics=None) -> DataFrame:
         for line in range(first, last + 1)
     ]
     return spark.createDataFrame(rows, "topic string, variable string, simple_label string")
-
-
-def transit_mode_lookup(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(TRANSIT_MODES.items()), "mode string, mode_name string")

@@ -174,7 +174,7 @@ def share_of_total_rows(spark, sf):
     rows = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_quantity"
     )
-    return series.share_of_total(rows, ["l_returnflag"], "l_quantity").drop("l_returnflag")
+    return series.share_of_total(rows, ["l_returnflag"], "l_quantity", staged=True).drop("l_returnflag")
 
 
 @registered("""
@@ -524,15 +524,21 @@ def moe_sum_per_row(spark, sf):
     )
 
 
-@registered("""
-    WITH l(variable, label) AS (VALUES ('Brand#1', 'Total'), ('Brand#2', 'Low'), ('Brand#3', 'Low'),
-                                       ('Brand#4', 'Mid'), ('Brand#5', 'Mid'), ('Brand#6', 'High'))
+# Every brand but the last carries a label.
+_BRAND_LABELS = {
+    f"Brand#{number}": label
+    for label, first, last in (("Total", 1, 1), ("Low", 2, 9), ("Mid", 10, 17), ("High", 18, 24))
+    for number in range(first, last + 1)
+}
+
+
+@registered(f"""
+    WITH l(variable, label) AS (VALUES {", ".join(f"('{b}', '{l}')" for b, l in _BRAND_LABELS.items())})
     SELECT l_returnflag, label, sum(l_quantity) AS estimate, sqrt(sum(round(l_tax * 100) * round(l_tax * 100))) AS moe
-    FROM {lineitem} JOIN {part} ON l_partkey = p_partkey JOIN l ON p_brand = variable GROUP BY 1, 2
+    FROM {{lineitem}} JOIN {{part}} ON l_partkey = p_partkey JOIN l ON p_brand = variable GROUP BY 1, 2
 """)
 def label_and_consolidate(spark, sf):
-    labels = {"Brand#1": "Total", "Brand#2": "Low", "Brand#3": "Low", "Brand#4": "Mid", "Brand#5": "Mid", "Brand#6": "High"}
-    lookup = spark.createDataFrame(list(labels.items()), "variable string, simple_label string")
+    lookup = spark.createDataFrame(list(_BRAND_LABELS.items()), "variable string, simple_label string")
     cells = query(spark, sf, """
         SELECT l_returnflag, p_brand AS variable, l_quantity AS estimate, round(l_tax * 100) AS moe
         FROM {lineitem} JOIN {part} ON l_partkey = p_partkey
@@ -793,7 +799,7 @@ _PLACES = """
 HIERARCHY_CHECK = """
     r AS (
         SELECT level, year, CASE level WHEN 2 THEN 'Unincorporated Region' WHEN 3 THEN 'Incorporated Region' ELSE 'Region' END AS place,
-               sum(estimate) AS estimate
+               CASE WHEN count(estimate) = count(*) THEN sum(estimate) END AS estimate
         FROM p WHERE level <= 3 GROUP BY level, year
         UNION ALL SELECT level, year, place, estimate FROM p
     ),

@@ -224,7 +224,7 @@ def transit_trends(spark, sf):
 
 # --- census -------------------------------------------------------------------------
 
-_ACS_YEARS = (1997, 1998, 2001)
+_ACS_YEARS = tuple(views.YEARS)
 
 
 def _acs(topics) -> str:
@@ -289,8 +289,8 @@ def _observed(places: str, metric: str, more: str = "") -> str:
     keys = f", {more}" if more else ""
     return f"""
         WITH p0 AS ({places}),
-        p AS (SELECT level, year, place{keys}, sum(estimate) AS estimate FROM p0 GROUP BY level, year, place{keys}),
-        {HIERARCHY_CHECK.replace('level, year', f'level, year{keys}').replace("THEN 'Unincorporated Region'", "THEN 'Unincorporated Region'")},
+        p AS (SELECT level, year, place{keys}, CASE WHEN count(estimate) = count(*) THEN sum(estimate) END AS estimate FROM p0 GROUP BY level, year, place{keys}),
+        {HIERARCHY_CHECK.replace('level, year', f'level, year{keys}')},
         c AS (
             SELECT *, estimate - lag(estimate) OVER (PARTITION BY level, place{keys} ORDER BY year) AS d FROM r
         )
@@ -306,9 +306,20 @@ _PLACE_NAME = """
     CASE level WHEN 1 THEN county || ' County' WHEN 4 THEN replace(place, ' (part)', '')
                ELSE place || ' ' || county || ' County' END AS place
 """
+# Each vintage has a cell for every row it lists and every year it owns, blank if unknown.
 _PLACE_COUNTS = f"""
-    SELECT CAST(level AS DOUBLE) AS level, CAST(year AS BIGINT) AS year, {_PLACE_NAME}, 1.0::DOUBLE AS estimate
-    FROM {{place_levels}} WHERE county IN ({_HOME})
+    SELECT CAST(level AS DOUBLE) AS level, year, {_PLACE_NAME}, n AS estimate FROM (
+        SELECT w.level, w.county, w.place, w.year, c.n
+        FROM (
+            SELECT DISTINCT level, county, place, CAST(unnest(range(opens, owns + 1)) AS BIGINT) AS year
+            FROM {{place_levels}}
+            JOIN (VALUES (1995, 1997, 1996), (1997, 1999, 1998), (1999, 2000, 1999), (2000, 2001, 2001)) v(opens, ends, owns)
+              ON year BETWEEN opens AND ends
+            WHERE county IN ({_HOME})
+        ) w
+        LEFT JOIN (SELECT level, county, place, year, CAST(count(*) AS DOUBLE) AS n FROM {{place_levels}} GROUP BY 1, 2, 3, 4) c
+          ON c.level = w.level AND c.county = w.county AND c.place = w.place AND c.year = w.year
+    ) cells
 """
 
 
