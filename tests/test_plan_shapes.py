@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
-from trendloom.operators import aggregate, joins, series
+from trendloom.operators import aggregate, joins, periods, series
 from trendloom.plans import near_transit, vehicles
 from trendloom.session import broadcast_if_small, stage
 from trendloom.workload.views import view
@@ -66,6 +66,13 @@ def test_filters_and_columns_reach_the_scan(spark, tmp_path):
     assert "ReadSchema: struct<transaction_month:string>" in makes
 
 
+def test_complete_year_limit_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "months")
+    spark.range(100).selectExpr("date_add(date'2019-01-01', cast(id * 20 AS int)) AS date", "cast(id AS double) AS estimate").write.parquet(path)
+    plan = periods.annual_summary(spark.read.parquet(path), [], 2020)._jdf.queryExecution().executedPlan().toString()
+    assert "LessThan(date,2021-01-01)" in plan
+
+
 def test_aggregates_combine_before_the_shuffle(spark):
     df = spark.range(1000).selectExpr("id % 3 AS k", "cast(id AS double) AS estimate")
     for built in (aggregate.sum_by(df, ["k"]), aggregate.moe_sum(df.withColumn("moe", F.lit(1.0)), ["k"])):

@@ -473,6 +473,11 @@ def test_airport_cargo_total(spark, rows):
     assert rows(got.filter("grouping = 'Monthly'"), "variable", "date", "estimate") == [("Total", month(2022, 1), 2.0)]
 
 
+def test_missing_airport_months(spark, rows):
+    got = airport.missing_airport_months(airport_rows(spark), dt.date(2023, 5, 1), yr1=2020)
+    assert rows(got, "month_key") == sorted([(f"{m:02d}2020",) for m in range(1, 12)] + [("022023",), ("032023",)])
+
+
 def test_airport_national(spark, rows):
     df = spark.createDataFrame(
         [("SEA", "5511.585", "2019"), (None, "1", "2019"), ("PDX", None, "2019"), ("PDX", "4409250", "2020"), ("OLD", "9", "2018")],

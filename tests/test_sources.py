@@ -67,6 +67,11 @@ def test_population_file(spark, tmp_path, rows):
     assert rows(got) == [(4.0, "Algona", "2021", 3190.0)]
 
 
+def test_housing_forecast(spark, tmp_path, rows):
+    path = write(tmp_path / "h.csv", "Year,Observed,Forecast", "2020,10,", "2021,,11.5")
+    assert rows(readers.read_housing_forecast(spark, path)) == [(2020, 10.0, None), (2021, None, 11.5)]
+
+
 def test_acs_reads_only_the_asked_folders(spark, tmp_path):
     path = str(tmp_path / "acs")
     spark.range(8).selectExpr("id AS estimate", "concat('B', id % 2) AS acs_table", "2020 + id % 4 AS year").write.partitionBy("acs_table", "year").parquet(path)

@@ -78,10 +78,11 @@ def annual_summary(
     """Sums of the complete years only; by default the data's own newest month decides."""
     if complete_through is None:
         complete_through = df.agg(last_complete_year(F.max("date"))).scalar()
-    year = F.year("date")
+    # Compared as dates, a limit given as a number reaches the scan.
+    next_year = F.make_date(_column(complete_through) + 1, F.lit(1), F.lit(1))
     return (
-        df.filter(year <= _column(complete_through))
-        .groupBy(*keys, year.cast("string").alias("year"))
+        df.filter(F.col("date") < next_year)
+        .groupBy(*keys, F.year("date").cast("string").alias("year"))
         .agg(na_sum(value).alias(value))
         .withColumns({"grouping": F.lit("Annual"), "date": stamp("year", 12)})
     )

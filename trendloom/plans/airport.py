@@ -10,7 +10,7 @@ from trendloom.functions.dates import reporting_cutoff
 from trendloom.functions.nulls import to_number
 from trendloom.functions.numbers import pounds_to_tons
 from trendloom.functions.text import recode_map
-from trendloom.operators.periods import period_summary
+from trendloom.operators.periods import missing_months, period_summary
 from trendloom.schema import conform, union_trends
 from trendloom.sources.lookups import AIRPORT, AIRPORT_CATEGORIES
 
@@ -59,6 +59,12 @@ def airport_monthly(rows: DataFrame, as_of: dt.date, yr1: int = 2019) -> DataFra
     )
 
 
+def missing_airport_months(rows: DataFrame, as_of: dt.date, yr1: int = 2019) -> DataFrame:
+    """Months that should have been published by ``as_of`` but are not among the files."""
+    newest = dt.date(*reporting_cutoff(as_of), 1)
+    return missing_months(rows.select(_month("month_key").alias("date")), dt.date(yr1, 1, 1), newest)
+
+
 def airport_national(rows: DataFrame, metric: str = "passengers", yr1: int = 2019) -> DataFrame:
     """Yearly enplanements or landed cargo (metric tons) of the metro airports.
 

@@ -63,6 +63,16 @@ def read_agencies(spark: SparkSession, path: str) -> DataFrame:
     return read_wide(spark, path).withColumns({c: pad_left(c, 5) for c in ("NTDID", "UACE")})
 
 
+def read_housing_forecast(spark: SparkSession, path: str) -> DataFrame:
+    """Yearly housing units with an observed and a forecast column, either may be blank."""
+    wide = read_wide(spark, path)
+    return wide.select(
+        F.col("Year").try_cast("int").alias("Year"),
+        to_number("Observed").alias("Observed"),
+        to_number("Forecast").alias("Forecast"),
+    )
+
+
 def read_acs(spark: SparkSession, path: str, tables: Iterable[str], years: Iterable[int]) -> DataFrame:
     """Census estimates landed by ``acs_table`` and ``year``; other folders are not read."""
     landed = spark.read.parquet(path)

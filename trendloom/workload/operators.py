@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trendloom.functions import dates, nulls, numbers, text
 from trendloom.operators import aggregate, joins, periods, reshape, series
-from trendloom.plans import census, population, transit
+from trendloom.plans import airport, census, population, transit
 from trendloom.schema import conform, union_trends
 from trendloom.session import shared_folder
 from trendloom.sources import readers, sink
@@ -373,6 +373,18 @@ def expected_months(spark, sf):
     return periods.missing_months(table(spark, sf, "orders"), first, last, "o_orderdate")
 
 
+@registered("""
+    WITH s AS (
+        SELECT CAST(unnest(generate_series(TIMESTAMP '1996-01-01', TIMESTAMP '2001-12-01', INTERVAL 1 MONTH)) AS DATE) AS date
+    ), k AS (
+        SELECT date, lpad(CAST(month(date) AS STRING), 2, '0') || CAST(year(date) AS STRING) AS month_key FROM s
+    )
+    SELECT date, month_key FROM k WHERE month_key NOT IN (SELECT month_key FROM {airport_rows})
+""")
+def airport_missing_months(spark, sf):
+    return airport.missing_airport_months(view(spark, sf, "airport_rows"), dt.date(2002, 2, 10), yr1=1996)
+
+
 # --- reshape ------------------------------------------------------------------------
 
 _MEASURES = """
