@@ -18,6 +18,7 @@ from trendloom.operators.aggregate import region_rollup, sum_by
 from trendloom.operators.periods import latest_month_by_year, stamp_latest_month
 from trendloom.operators.series import share_of_total, wide_shares
 from trendloom.schema import conform, union_trends
+from trendloom.session import stage
 from trendloom.sources.lookups import ENGINE_LABELS, HOME_COUNTIES, REGISTRATION_COUNTS
 
 ENGINES = ("Battery Electric Vehicle", "Hybrid Electric Vehicle", "Plug-in Hybrid Electric Vehicle")
@@ -151,8 +152,14 @@ def titles_by_tract(
     return conform(dated, geography_type="Tract", grouping=vehicle_type, metric="vehicle-registrations")
 
 
-def vehicle_trends(registrations: DataFrame, titles: DataFrame) -> DataFrame:
-    """Registrations, new and used titles, and makes of the electrified powertrains."""
+def vehicle_trends(registrations: DataFrame, titles: DataFrame, staged: bool = False) -> DataFrame:
+    """Registrations, new and used titles, and makes of the electrified powertrains.
+
+    ``staged`` writes the title cube to the shared folder first: one scan of the titles
+    instead of three, worth it for a large or a text source.
+    """
+    if staged:
+        titles = stage(title_cube(titles))
     return union_trends(
         registrations_by_fuel(registrations),
         title_transactions(titles, vehicle_type=["New", "Used"]),

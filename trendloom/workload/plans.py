@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from trendloom.plans import airport, census, jobs, near_transit, population, transit, vehicles
+from trendloom.schema import union_trends
+from trendloom.session import stage
 from trendloom.sources.lookups import ACS_TOPICS, ENGINE_LABELS, REGISTRATION_COUNTS, TRANSIT_MODES
 from trendloom.workload import views
 from trendloom.workload.operators import HIERARCHY_CHECK, HIERARCHY_COLUMNS
@@ -96,7 +98,7 @@ _TRACT_TITLES = f"""
 _HOME = "'King', 'Kitsap', 'Pierce', 'Snohomish'"
 _FUEL_SUMS = ", ".join(f"sum(CAST({c} AS DOUBLE)) AS {n}" for c, n, _ in REGISTRATION_COUNTS)
 _FUEL_ROWS = f"""
-    WITH_ROWS AS (
+    fuel_rows AS (
         SELECT CAST(date AS DATE) AS date, county AS geography, {_FUEL_SUMS}
         FROM {{registrations}} WHERE state = 'WA' AND county IN ({_HOME}) GROUP BY 1, 2
         UNION ALL
@@ -111,7 +113,7 @@ _FUEL = " UNION ALL ".join(
     for _, n, label in REGISTRATION_COUNTS
 )
 _REGISTRATIONS = trend(
-    f"WITH {_FUEL_ROWS.replace('WITH_ROWS', 'fuel_rows').strip()} {_FUEL}",
+    f"WITH {_FUEL_ROWS} {_FUEL}",
     share="s",
     geography_type="CASE geography WHEN 'Region' THEN 'Region' ELSE 'County' END",
     grouping="'All'",
@@ -158,12 +160,15 @@ def vehicle_trends(spark, sf):
     return vehicles.vehicle_trends(view(spark, sf, "registrations"), view(spark, sf, "titles"))
 
 
+@registered(_VEHICLES)
+def vehicle_trends_staged(spark, sf):
+    """All vehicle indicators from one staged scan of the titles."""
+    return vehicles.vehicle_trends(view(spark, sf, "registrations"), view(spark, sf, "titles"), staged=True)
+
+
 @registered(_title_transactions("'New', 'Used'") + " UNION ALL " + _titles_by_make(_ENGINES))
 def titles_from_staged_cube(spark, sf):
     """County and make plans fed from one staged scan of the titles."""
-    from trendloom.schema import union_trends
-    from trendloom.session import stage
-
     cube = stage(vehicles.title_cube(view(spark, sf, "titles")))
     return union_trends(
         vehicles.title_transactions(cube, vehicle_type=["New", "Used"]),

@@ -288,6 +288,8 @@ def _jobs_by_industry(spark: SparkSession, folder: str) -> DataFrame:
     private = F.when(kind.isin("ECONOMY", "MEDIUM", "LARGE", "PROMO"), F.lit("Private Service Providing"))
     return (
         view(spark, folder, "job_rows")
+        .groupBy("area", "p_type", "date")
+        .agg(F.sum("jobs").alias("jobs"))
         .select("area", "date", "jobs", F.explode(F.array_compact(F.array(listed, private))).alias("industry"))
         .groupBy("area", "industry", "date")
         .agg(F.sum("jobs").alias("estimate"))
@@ -323,10 +325,14 @@ def with_views(text: str) -> str:
 
 def transit_wide(spark: SparkSession, folder: str) -> DataFrame:
     """Transit service with one column per month, named ``M/yyyy``."""
-    service = view(spark, folder, "transit_service")
-    cells = [F.struct(F.lit(m).alias("metric"), F.col(c).alias("v")) for m, c in (("UPT", "upt"), ("VRM", "vrm"), ("VRH", "vrh"))]
-    long = service.select("agency_id", "agency", "mode", "tos", "date", F.inline(F.array(*cells)))
-    wide = long.groupBy("agency_id", "agency", "mode", "tos", "metric").pivot("date", MONTHS).agg(F.sum("v"))
+    ids = ["agency_id", "agency", "mode", "tos"]
+    metrics = {"UPT": "upt", "VRM": "vrm", "VRH": "vrh"}
+    service = view(spark, folder, "transit_service").groupBy(*ids, "date").agg(
+        *[F.sum(c).alias(c) for c in metrics.values()]
+    )
+    cells = [F.struct(F.lit(m).alias("metric"), F.col(c).alias("v")) for m, c in metrics.items()]
+    long = service.select(*ids, "date", F.inline(F.array(*cells)))
+    wide = long.groupBy(*ids, "metric").pivot("date", MONTHS).agg(F.sum("v"))
     return wide.withColumnsRenamed({str(m): f"{m.month}/{m.year}" for m in MONTHS})
 
 
