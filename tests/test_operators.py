@@ -130,6 +130,11 @@ def test_melt_headers_parses_keys(spark, rows):
     assert rows(got) == [("a", None, "Total", 2.0), ("a", "2019", "2019.It's", 1.0)]
 
 
+def test_nothing_to_melt_is_an_error(spark):
+    with pytest.raises(ValueError):
+        reshape.melt_headers(spark.range(1), ["id"], [], lambda h: {})
+
+
 def test_spread_then_melt_is_identity(spark, rows):
     long = spark.createDataFrame([("a", "x", 1.0), ("a", "y", 2.0), ("b", "x", 3.0)], "id string, variable string, estimate double")
     wide = reshape.spread(long, ["id"], "variable", ["x", "y"])

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 from trendloom.operators import aggregate, joins, periods, series
-from trendloom.plans import near_transit, vehicles
+from trendloom.plans import census, near_transit, transit, vehicles
 from trendloom.session import broadcast_if_small, stage
-from trendloom.workload.views import view
+from trendloom.workload.views import transit_wide, view
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -73,6 +73,23 @@ def test_complete_year_limit_reaches_the_scan(spark, tmp_path):
     assert "LessThan(date,2021-01-01)" in plan
 
 
+def test_large_sides_are_not_shuffled_by_a_handful_of_keys(spark, tmp_path):
+    """Planned for sources whose size rules out any broadcast found by estimates."""
+    for name in ("acs_estimates", "acs_metro", "acs_counties", "agencies", "titles"):
+        view(spark, FOLDER, name).write.parquet(str(tmp_path / name))
+    read = {p.name: spark.read.parquet(str(p)) for p in tmp_path.iterdir()}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        census_plan = census.acs_trends(read["acs_estimates"], read["acs_metro"], read["acs_counties"], [1998])
+        transit_plan = transit.transit_trends(transit_wide(spark, FOLDER), read["agencies"])
+        titles_plan = vehicles.titles_by_tract(read["titles"])
+        plans = [d._jdf.queryExecution().executedPlan().toString() for d in (census_plan, transit_plan, titles_plan)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for plan, key in zip(plans, ("variable", "metric", "year")):
+        assert not re.search(rf"(SortMerge|ShuffledHash)Join \[{key}#\d+L?\]", plan)
+
+
 def test_aggregates_combine_before_the_shuffle(spark):
     df = spark.range(1000).selectExpr("id % 3 AS k", "cast(id AS double) AS estimate")
     for built in (aggregate.sum_by(df, ["k"]), aggregate.moe_sum(df.withColumn("moe", F.lit(1.0)), ["k"])):

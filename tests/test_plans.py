@@ -235,6 +235,19 @@ def test_acs(spark, rows):
         ("2021", month(2021, 12), "All", "housing-tenure")]
 
 
+def test_acs_topic_with_its_own_labels(spark, rows):
+    acs = spark.createDataFrame(
+        [("K", "B99_001", 4.0, 3.0, "Region", 2020), ("K", "B99_002", 1.0, 4.0, "Region", 2020)],
+        "name string, variable string, estimate double, moe double, census_geography string, year int",
+    )
+    metro = spark.createDataFrame([], "GEOID string, variable string, estimate double, moe double, year int")
+    counties = spark.createDataFrame([], "MPO_AREA string, STATE_FIPS string, COUNTY_FIPS string")
+    labels = spark.createDataFrame(
+        [("pets", "B99_001", "Total"), ("pets", "B99_002", "Dogs")], "topic string, variable string, simple_label string")
+    got = census.acs_indicator(acs, metro, counties, [2020], "pets", labels)
+    assert rows(got, "metric", "variable", "share") == [("pets", "Dogs", 0.25), ("pets", "Total", 1.0)]
+
+
 def test_acs_zero_total_counts_only_the_largest_margin(spark):
     acs = spark.createDataFrame(
         [("K", "B08301_016", 0.0, 3.0, "County", 2021), ("K", "B08301_020", 0.0, 4.0, "County", 2021)],

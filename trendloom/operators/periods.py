@@ -118,9 +118,13 @@ def latest_month_by_year(df: DataFrame, date: str = "date") -> DataFrame:
 
 
 def stamp_latest_month(df: DataFrame, months: DataFrame) -> DataFrame:
-    """File yearly rows under the newest month of their year."""
+    """File yearly rows under the newest month of their year.
+
+    ``months`` holds one row per calendar year, few enough to broadcast whatever the
+    size of their source; a shuffle by year would make one partition per year.
+    """
     return (
-        df.join(months, "year", "left")
+        df.join(F.broadcast(months), "year", "left")
         .withColumn("date", stamp("year", "max_month"))
         .drop("max_month")
     )

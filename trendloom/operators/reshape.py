@@ -63,6 +63,8 @@ def melt_headers(
     hundreds of columns.
     """
     values = list(values)
+    if not values:
+        raise ValueError("no columns to melt")
     keys = [parse(c) for c in values]
     # One expression text for all columns: building them one by one is slow in Python.
     numbers = ", ".join(f"try_cast(`{c.replace('`', '``')}` AS DOUBLE)" for c in values)

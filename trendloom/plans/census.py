@@ -56,7 +56,9 @@ def acs_trends(
     years = list(years)
     topics = list(topics) if topics is not None else list(ACS_TOPICS)
     if lookup is None:
-        lookup = acs_lookup(acs.sparkSession, topics)
+        # At most 147 rows, stated in code. Spark knows no size for them and would else
+        # plan to shuffle the cells by variable.
+        lookup = F.broadcast(acs_lookup(acs.sparkSession, topics))
     lookup = lookup.filter(F.col("topic").isin(*topics))
 
     wanted = F.col("year").isin(*years)

@@ -59,7 +59,8 @@ def transit_trends(wide: DataFrame, agencies: DataFrame, home_area: str = "Seatt
     # Each metric has its own newest month.
     newest = monthly.groupBy("metric").agg(F.max("date").alias("newest"))
     periods = period_summary(
-        monthly.join(newest, "metric"),
+        # One row per metric, of three: a shuffle by metric would make three partitions.
+        monthly.join(F.broadcast(newest), "metric"),
         ["metric", "area", "variable", "operator"],
         complete_through=last_complete_year("newest"),
         cutoff_month=F.month("newest"),

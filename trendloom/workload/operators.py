@@ -550,7 +550,7 @@ _BRAND_LABELS = {
     FROM {{lineitem}} JOIN {{part}} ON l_partkey = p_partkey JOIN l ON p_brand = variable GROUP BY 1, 2
 """)
 def label_and_consolidate(spark, sf):
-    lookup = spark.createDataFrame(list(_BRAND_LABELS.items()), "variable string, simple_label string")
+    lookup = F.broadcast(spark.createDataFrame(list(_BRAND_LABELS.items()), "variable string, simple_label string"))
     cells = query(spark, sf, """
         SELECT l_returnflag, p_brand AS variable, l_quantity AS estimate, round(l_tax * 100) AS moe
         FROM {lineitem} JOIN {part} ON l_partkey = p_partkey
