@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_point
 from trendloom.operators import aggregate, joins, periods, series
 from trendloom.plans import census, near_transit, transit, vehicles
-from trendloom.session import broadcast_if_small, stage
+from trendloom.workload import operators, plans
 from trendloom.workload.views import transit_wide, view
 
 FOLDER = "/root/testdata/sf0.001"
@@ -25,7 +25,7 @@ def scans(plan: str, table: str) -> int:
     return len(re.findall(rf"FileScan [^\n]*/{table}\.parquet", plan))
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted({**operators.QUERIES, **plans.QUERIES}))
 def test_no_python_and_no_product_join(spark, name):
     plan = entry_point.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     for unwanted in ("PythonUDF", "ArrowEvalPython", "BatchEvalPython", "MapInPandas", "FlatMapGroupsInPandas",
@@ -145,12 +145,16 @@ def test_share_of_a_hot_group_gathers_no_rows(spark, shuffled_joins):
     assert got.filter("k = -1").agg(F.sum("share")).first()[0] == pytest.approx(1.0)
 
 
-def test_staged_groups_are_broadcast_when_few_and_shuffled_when_many(spark, shuffled_joins):
+def test_staged_groups_are_broadcast_by_their_size(spark):
     df = spark.range(0, 90_000, 1, 8).selectExpr("id % 3 AS k", "id AS u", "cast(1 AS double) AS estimate")
     few = final_plan(series.share_of_total(df, ["k"], staged=True))
     assert "BroadcastHashJoin" in few and "Exchange hashpartitioning" not in few
-    staged = stage(df.select("u"))
-    assert "broadcast" not in broadcast_if_small(staged, 10)._jdf.queryExecution().logical().toString().lower()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100k")
+    try:
+        many = final_plan(series.share_of_total(df, ["u"], staged=True))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" not in many
 
 
 def test_lookup_is_broadcast_only_when_small(spark):

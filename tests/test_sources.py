@@ -1,10 +1,12 @@
 """Readers and sink on files written here."""
 
+from pathlib import Path
+
 import pytest
 
 from trendloom.plans.population import population_segment
 from trendloom.schema import TREND_COLUMNS, conform
-from trendloom.session import shared_folder, stage
+from trendloom.session import clean_stages, shared_folder, stage
 from trendloom.sources import readers, sink
 
 
@@ -100,7 +102,10 @@ def test_shared_folder_is_the_sessions(spark, rows):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     staged = stage(spark.range(5))
     assert staged.count() == 5
-    assert "ExistingRDD" in staged._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in staged._jdf.queryExecution().executedPlan().toString()
+    folder = Path(staged.inputFiles()[0].removeprefix("file:")).parent
+    clean_stages(spark)
+    assert not folder.exists()
 
 
 def test_cluster_without_shared_folder_is_refused():

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from trendloom.functions.nulls import as_col
-from trendloom.session import broadcast_if_small, stage
+from trendloom.session import stage
 
 
 def keep_known(df: DataFrame, keys: DataFrame, left_on: str, right_on: str | None = None) -> DataFrame:
@@ -39,15 +39,16 @@ def with_group_values(
     """Attach aggregates of each row's own group; NULL keys form one group.
 
     The groups are aggregated map-side first and joined back, so a group of any size is
-    never gathered in one task, as a window over it would do. ``staged`` computes the
-    groups at once and counts them: when they are few, the rows of ``df`` are not
-    shuffled at all. That pays for detail rows, not for an already grouped ``df``.
+    never gathered in one task, as a window over it would do. ``staged`` writes the groups
+    to the shared folder first, so that Spark chooses the join by the size of their files:
+    few groups leave the rows of ``df`` unshuffled. That pays for detail rows, not for an
+    already grouped ``df``.
     """
     groups = df.groupBy(*[as_col(k).alias(f"__{k}") for k in keys]).agg(
         *[agg.alias(name) for name, agg in aggregates.items()]
     )
     if staged:
-        groups = broadcast_if_small(stage(groups))
+        groups = stage(groups)
     same_group = reduce(
         lambda a, b: a & b, [as_col(k).eqNullSafe(as_col(f"__{k}")) for k in keys]
     )

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, app: str = "trendloom", **conf) -> SparkSession:
@@ -33,35 +34,45 @@ def build_session(master: str | None = None, app: str = "trendloom", **conf) ->
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only a local session without the setting gets a temporary folder; on a cluster a
-    machine-local folder would lose its files with the machine, so that is an error.
+    Only a one-machine session (``local`` or ``local[...]``) without the setting gets a temporary
+    folder; on a cluster a machine-local folder would lose its files with the machine, so that is
+    an error.
     """
     context = spark.sparkContext
     folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if folder:
-        return folder
-    if not context.master.startswith("local"):
+        return folder.rstrip("/")
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="trendloom-")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
-def broadcast_if_small(staged: DataFrame, most_rows: int = 500_000) -> DataFrame:
-    """Broadcast a staged table that has few rows; leave a larger one to a shuffle join.
+_staged: list[str] = []
 
-    Counting reads the written copy, not what it was computed from.
-    """
-    return F.broadcast(staged) if staged.count() <= most_rows else staged
+
+def stage_path(spark: SparkSession) -> str:
+    """A new path in the shared folder; ``clean_stages`` removes what was written there."""
+    _staged.append(f"{shared_folder(spark)}/trendloom/{uuid.uuid4().hex}")
+    return _staged[-1]
 
 
 def stage(df: DataFrame) -> DataFrame:
-    """Write a table to the shared folder now and go on from the written copy.
+    """Write a table to the shared folder as Parquet now and go on from the written copy.
 
-    For an aggregate several plans read, such as ``title_cube``: its source is scanned
-    once, and losing an executor later does not repeat that scan.
+    For a table that several plans read: its source is scanned once, losing an executor later
+    does not repeat that scan, columns and filters are still pushed down, and the size of the
+    files lets Spark choose the joins.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+    path = stage_path(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clean_stages(spark: SparkSession) -> None:
+    """Delete every staged table of this process; call it when no frame reads them any more."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    while _staged:
+        path = jvm.org.apache.hadoop.fs.Path(_staged.pop())
+        path.getFileSystem(conf).delete(path, True)
