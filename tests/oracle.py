@@ -5,17 +5,16 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 import math
+from pathlib import Path
 
 import duckdb
 
-from trendloom.workload.views import TABLES
-
 
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     con.execute("SET TimeZone = 'UTC'")
-    for name in TABLES:
-        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
+    for file in Path(folder).glob("*.parquet"):
+        con.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
     return con
 
 
