@@ -5,11 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from trendloom.llm import exact_dedup, mixing, sharding, warc
+from trendloom.llm import exact_dedup, mixing, sharding, topk, warc
 from trendloom.llm.tables import table
 from trendloom.session import stage_path
 
 
+def op1_topk(spark: SparkSession, sf: str) -> DataFrame:
+    return topk.top_k(table(spark, sf, "embeddings"), F.col("id") % 100 == 0)
+
+
+OP1_CHECK = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
 def op2_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.content_groups(table(spark, sf, "documents"), keep="largest")
 
@@ -94,12 +108,14 @@ FROM c
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
+    "op1_topk": op1_topk,
     "op2_exact_dedup": op2_exact_dedup,
     "op5_sharding": op5_sharding,
     "op6_warc": op6_warc,
     "op8_source_mixing": op8_source_mixing,
 }
 CHECKS = {
+    "op1_topk": OP1_CHECK,
     "op2_exact_dedup": OP2_CHECK,
     "op6_warc": OP6_CHECK,
     "op8_source_mixing": OP8_CHECK,
