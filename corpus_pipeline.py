@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trendloom.llm import exact_dedup, mixing
+from trendloom.llm import exact_dedup, language, mixing
 from trendloom.session import stage
 
 
+def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without any letter have no language and go; every other document stays."""
+    found = language.predict(docs, language.fit(docs))
+    return found.filter(F.col("lang_pred") != language.UNKNOWN).select("row.*")
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.drop_copies(docs)
 
@@ -17,6 +23,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("language ID", keep_known_languages),
     ("exact dedup", drop_exact_copies),
     ("mixing sources to target weights", mix_sources),
 ]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from trendloom.llm import exact_dedup, mixing, sharding, topk, warc
+from trendloom.llm import exact_dedup, html_extract, language, mixing, sharding, topk, warc
 from trendloom.llm.tables import table
 from trendloom.session import stage_path
 
@@ -36,6 +36,10 @@ FROM t
 """
 
 
+def op3_language(spark: SparkSession, sf: str) -> DataFrame:
+    return language.languages(table(spark, sf, "documents"))
+
+
 def op5_sharding(spark: SparkSession, sf: str) -> DataFrame:
     written = sharding.write_shards(table(spark, sf, "documents"), stage_path(spark))
     text, doc_id = F.coalesce("record.text", F.lit("")), F.col("record.doc_id").cast("long")
@@ -82,6 +86,10 @@ FROM m
 """
 
 
+def op7_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf, "pages"))
+
+
 def op8_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
     counted = mixing.with_copies(table(spark, sf, "documents"))
     return counted.select(
@@ -110,8 +118,10 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_topk": op1_topk,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_language": op3_language,
     "op5_sharding": op5_sharding,
     "op6_warc": op6_warc,
+    "op7_html_extraction": op7_html_extraction,
     "op8_source_mixing": op8_source_mixing,
 }
 CHECKS = {
