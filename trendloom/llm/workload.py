@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from trendloom.llm import exact_dedup, html_extract, language, mixing, sharding, topk, warc
+from trendloom.llm import exact_dedup, html_extract, language, mixing, sharding, substring, topk, warc
 from trendloom.llm.tables import table
 from trendloom.session import stage_path
 
@@ -114,6 +114,25 @@ SELECT doc_id, size, source_size, target,
 FROM c
 """
 
+
+def op9_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    cut = substring.drop_repeats(table(spark, sf, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP9_CHECK = r"""
+WITH w AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS ws FROM documents),
+g AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS p FROM w WHERE len(ws) >= 35),
+h AS (SELECT doc_id, p, array_to_string(ws[p:p + 34], ' ') AS win FROM g),
+d AS (SELECT doc_id, p FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY win) AS n FROM h) WHERE n > 1),
+c AS (SELECT DISTINCT doc_id, i FROM (SELECT doc_id, unnest(range(p, p + 35)) AS i FROM d)),
+u AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM w),
+k AS (SELECT u.doc_id, string_agg(u.word, ' ' ORDER BY u.i) AS kept, count(*) AS n
+      FROM u LEFT JOIN c ON u.doc_id = c.doc_id AND u.i = c.i WHERE c.i IS NULL GROUP BY u.doc_id)
+SELECT w.doc_id, len(w.ws)::BIGINT AS n_words, (len(w.ws) - coalesce(k.n, 0))::BIGINT AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM w LEFT JOIN k ON w.doc_id = k.doc_id
+"""
+
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_topk": op1_topk,
@@ -123,10 +142,12 @@ QUERIES = {
     "op6_warc": op6_warc,
     "op7_html_extraction": op7_html_extraction,
     "op8_source_mixing": op8_source_mixing,
+    "op9_substring_dedup": op9_substring_dedup,
 }
 CHECKS = {
     "op1_topk": OP1_CHECK,
     "op2_exact_dedup": OP2_CHECK,
     "op6_warc": OP6_CHECK,
     "op8_source_mixing": OP8_CHECK,
+    "op9_substring_dedup": OP9_CHECK,
 }
