@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from trendloom.llm import exact_dedup, html_extract, language, mixing, sharding, substring, topk, warc
+from trendloom.llm import exact_dedup, html_extract, jaccard, language, mixing, sharding, substring, topk, warc
 from trendloom.llm.tables import table
 from trendloom.session import stage_path
 
@@ -133,6 +133,26 @@ SELECT w.doc_id, len(w.ws)::BIGINT AS n_words, (len(w.ws) - coalesce(k.n, 0))::B
 FROM w LEFT JOIN k ON w.doc_id = k.doc_id
 """
 
+
+def op10_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf, "documents"))
+
+
+OP10_CHECK = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+g AS (SELECT DISTINCT doc_id, array_to_string(ws[p:p + 2], ' ') AS s FROM (
+        SELECT doc_id, ws, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [1] ELSE range(1, len(ws) - 1) END) AS p FROM w)),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+o AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM g x JOIN g y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM o JOIN n na ON a = na.doc_id JOIN n nb ON b = nb.doc_id WHERE 100 * i >= 90 * (na.n + nb.n - i)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(node, low) AS (SELECT a, b FROM e UNION SELECT r.node, e.b FROM r JOIN e ON r.low = e.a)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(w.doc_id, coalesce(m.low, w.doc_id)) AS component_id
+FROM w LEFT JOIN n ON w.doc_id = n.doc_id LEFT JOIN (SELECT node, min(low) AS low FROM r GROUP BY node) m ON w.doc_id = m.node
+"""
+
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_topk": op1_topk,
@@ -143,6 +163,7 @@ QUERIES = {
     "op7_html_extraction": op7_html_extraction,
     "op8_source_mixing": op8_source_mixing,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_ngram_jaccard": op10_ngram_jaccard,
 }
 CHECKS = {
     "op1_topk": OP1_CHECK,
@@ -150,4 +171,5 @@ CHECKS = {
     "op6_warc": OP6_CHECK,
     "op8_source_mixing": OP8_CHECK,
     "op9_substring_dedup": OP9_CHECK,
+    "op10_ngram_jaccard": OP10_CHECK,
 }
