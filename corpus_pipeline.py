@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trendloom.llm import exact_dedup, language, mixing
+from trendloom.llm import exact_dedup, jaccard, language, mixing, pieces
 from trendloom.session import stage
 
 
@@ -18,14 +18,26 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return exact_dedup.drop_copies(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by word shingles the one with the smallest id stays."""
+    return jaccard.drop_near_copies(docs, width=5, least=80)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs)
 
 
+def sample_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per copy of a document, with its sampled token sequences."""
+    return pieces.encode(docs).select(F.col("row.doc_id").alias("doc_id"), F.col("row.source").alias("source"), "samples")
+
+
 STAGES = [
     ("language ID", keep_known_languages),
     ("exact dedup", drop_exact_copies),
+    ("n-gram Jaccard join", drop_near_copies),
     ("mixing sources to target weights", mix_sources),
+    ("SentencePiece encoding and decoding", sample_pieces),
 ]
 
 #: Language scores and sampled segmentations are beyond SQL; tests hold the stages against plain versions.

@@ -27,7 +27,9 @@ SEED = 20240611
 SAMPLES = 2
 ALPHA = 1.0
 #: Characters of text that are walked together; a longer text goes alone.
-BATCH_CHARS = 4 << 20
+BATCH_CHARS = 6 << 20
+#: -log(-log(u)) of the largest uniform draw, rounded up.
+MOST_NOISE = 37.0
 
 
 class Vocabulary:
@@ -81,7 +83,7 @@ FIRST_BYTE = 0x110000
 class Lattices:
     """The lattices of distinct units, each a space mark and a word, in flat arrays.
 
-    The edges of a node stand together, the likeliest first; ``top`` sums their conditional probabilities up.
+    The edges of a node stand together; ``top`` sums their conditional probabilities up.
     """
 
     def __init__(self, vocabulary: Vocabulary, words: list[str]) -> None:
@@ -90,10 +92,11 @@ class Lattices:
         begin = np.cumsum(sizes) - sizes
         heads = np.zeros(len(codes), bool)
         heads[begin] = True
-        distinct, at = np.unique(codes, return_inverse=True)
+        distinct = np.flatnonzero(np.bincount(codes, minlength=1))
         alone = vocabulary.step(np.zeros(len(distinct), np.int64), distinct)
-        known = ((alone >= 0) & (vocabulary.token[alone] >= 0))[at]
-        known &= heads | (codes != ord(SPACE))
+        has_piece = np.zeros(CODES, bool)
+        has_piece[distinct] = (alone >= 0) & (vocabulary.token[alone] >= 0)
+        known = has_piece[codes] & (heads | (codes != ord(SPACE)))
         if not known.all():
             strange = np.flatnonzero(~known)
             raw = [chr(c).encode() for c in codes[strange].tolist()]
@@ -103,46 +106,57 @@ class Lattices:
             codes[~known] = FIRST_BYTE + np.frombuffer(b"".join(raw), np.uint8).astype(np.int64)
             sizes = np.add.reduceat(width, begin)
             begin = np.cumsum(sizes) - sizes
-        self.start, n = begin, len(codes)
-        end = np.repeat(begin + sizes, sizes)
-
+        # Nodes are numbered by their distance from the end of the unit, so that masses go level by level.
+        n = len(codes)
+        left = np.repeat(begin + sizes, sizes) - np.arange(n)
+        narrow = left.astype(np.uint16) if left.max() < 1 << 16 else left
+        order = np.argsort(narrow, kind="stable")
+        number = np.empty(n + 1, np.int64)
+        number[order], number[n] = np.arange(n), n
+        levels = np.cumsum(np.bincount(left)).tolist()
+        self.start = number[begin]
+
+        strange = np.flatnonzero(~known)
+        count = (~known).astype(np.int64)
+        found = [(strange, strange + 1, vocabulary.bytes[codes[strange] - FIRST_BYTE], np.zeros(len(strange)), np.zeros(len(strange), np.int64))]
         node = np.flatnonzero(known)
         state, place = np.zeros(len(node), np.int64), node
-        found = [(f := np.flatnonzero(~known), f + 1, vocabulary.bytes[codes[f] - FIRST_BYTE], np.zeros(len(f)))]
         while len(node):
             state = vocabulary.step(state, codes[place])
-            on = state >= 0
+            on = np.flatnonzero(state >= 0)
             node, place, state = node[on], place[on] + 1, state[on]
-            hit = vocabulary.token[state] >= 0
-            found.append((node[hit], place[hit], vocabulary.token[state[hit]], vocabulary.weight[state[hit]]))
-            on = place < end[node]
+            token = vocabulary.token[state]
+            hit = np.flatnonzero(token >= 0)
+            own = node[hit]
+            found.append((own, place[hit], token[hit], vocabulary.weight[state[hit]], count[own]))
+            count[own] += 1
+            on = np.flatnonzero(place - node < left[node])
             node, place, state = node[on], place[on], state[on]
-        source, target, token, weight = (np.concatenate(x) for x in zip(*found))
-
-        # Masses from the end of each unit backwards, all units side by side.
-        left = (end - np.arange(n))[source]
-        order = np.lexsort((source, left))
-        source, target, token, weight, left = source[order], target[order], token[order], weight[order], left[order]
-        last = target == end[source]
-        below, logp = np.zeros(n + 1), np.empty(len(source))
-        aim = np.where(last, n, target)
-        cuts = np.flatnonzero(np.diff(left)) + 1
-        for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(source)]):
-            own, value = source[low:high], weight[low:high] + below[aim[low:high]]
-            first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-            count = np.diff(np.r_[first, len(own)])
+
+        # The edges of a node stand together, the longest piece first.
+        self.first = np.concatenate([[0], np.cumsum(count[order])])
+        total = int(self.first[-1])
+        self.token, self.to, self.logp = np.empty(total, np.int32), np.empty(total, np.int64), np.empty(total)
+        for own, target, token, weight, index in found:
+            at = self.first[number[own]] + count[own] - 1 - index
+            self.token[at], self.logp[at] = token, weight
+            self.to[at] = np.where(target - own < left[own], number[target], n)
+
+        below, self.top = np.zeros(n + 1), np.empty(total)
+        for low, high in zip(levels, levels[1:]):
+            span = slice(self.first[low], self.first[high])
+            first, size = self.first[low:high] - span.start, np.diff(self.first[low : high + 1])
+            value = self.logp[span] + below[self.to[span]]
             peak = np.maximum.reduceat(value, first)
-            total = peak + np.log(np.add.reduceat(np.exp(value - np.repeat(peak, count)), first))
-            below[own[first]] = total
-            logp[low:high] = value - np.repeat(total, count)
-
-        order = np.lexsort((-logp, source))
-        self.logp, self.token, source = logp[order], token[order], source[order]
-        self.to = np.where(last, -1, target)[order]
-        self.first = np.searchsorted(source, np.arange(n + 1))
-        reached = np.cumsum(np.exp(self.logp))
-        self.top = reached - np.repeat(np.r_[0.0, reached][self.first[:-1]], np.diff(self.first))
+            share = np.exp(value - np.repeat(peak, size))
+            mass = np.add.reduceat(share, first)
+            below[low:high] = peak + np.log(mass)
+            self.logp[span] = value - np.repeat(below[low:high], size)
+            share /= np.repeat(mass, size)
+            reached = np.cumsum(share)
+            self.top[span] = reached - np.repeat(reached[first] - share[first], size)
         self.top[self.first[1:] - 1] = 2.0
+        self.to[self.to == n] = -1
 
     def choose(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
         """The edge of each node at a uniform draw."""
@@ -202,15 +216,21 @@ class Path:
 
 def _turns(lattices: Lattices, path: Path, begin: int, barred: tuple, seed: int, number: int, keep: int) -> list[tuple]:
     """The best ``keep`` sets that turn off the path at or after place ``begin``: (-value, number, place, barred edges)."""
-    logp = lattices.logp[path.edges]
-    before = np.cumsum(logp) - logp
-    left = -np.expm1(logp[begin:])
-    if len(left) and barred:
-        left[0] -= np.exp(lattices.logp[list(barred)]).sum()
-    with np.errstate(divide="ignore"):
-        location = np.where(left > 1e-12, before[begin:] + np.log(np.maximum(left, 1e-300)), -np.inf)
-    values = _below(location, path.value, _uniform(seed, -2, number, np.arange(begin, len(logp))))
-    best = np.argsort(-values, kind="stable")[:keep]
+    stop = begin + 128
+    while True:
+        logp = lattices.logp[path.edges[:stop]]
+        reached = np.cumsum(logp)
+        left = -np.expm1(logp[begin:])
+        if len(left) and barred:
+            left[0] -= np.exp(lattices.logp[list(barred)]).sum()
+        with np.errstate(divide="ignore"):
+            location = np.where(left > 1e-12, (reached - logp)[begin:] + np.log(np.maximum(left, 1e-300)), -np.inf)
+        values = _below(location, path.value, _uniform(seed, -2, number, np.arange(begin, len(logp))))
+        best = np.argsort(-values, kind="stable")[:keep]
+        # No draw lies more than MOST_NOISE above its location, and locations only fall along the path.
+        if stop >= len(path.edges) or (len(best) == keep and reached[-1] + MOST_NOISE < values[best[-1]]):
+            break
+        stop *= 4
     return [(-values[i], number, begin + int(i), (*(barred if i == 0 else ()), int(path.edges[begin + i]))) for i in best if np.isfinite(values[i])]
 
 

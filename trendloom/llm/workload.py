@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from trendloom.llm import exact_dedup, html_extract, jaccard, language, mixing, sharding, substring, topk, warc
+from trendloom.llm import exact_dedup, html_extract, jaccard, language, mixing, pieces, sharding, substring, topk, warc
 from trendloom.llm.tables import table
 from trendloom.session import stage_path
 
@@ -40,6 +40,21 @@ def op3_language(spark: SparkSession, sf: str) -> DataFrame:
     return language.languages(table(spark, sf, "documents"))
 
 
+def op4_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    sampled = pieces.encode(table(spark, sf, "documents")).select("row", F.explode("samples").alias("s"))
+    decoded = pieces.decode(sampled, F.col("s.tokens"))
+    return decoded.select(
+        F.col("row.doc_id").alias("doc_id"),
+        F.col("s.rank").alias("rank"),
+        F.size("s.tokens").cast("long").alias("n_tokens"),
+        F.xxhash64("s.tokens").alias("tokens_hash"),
+        F.col("s.log_prob").alias("log_prob"),
+        F.col("s.perturbed").alias("perturbed"),
+        F.col("s.inclusion").alias("inclusion"),
+        (F.col("decoded") == F.coalesce("row.text", F.lit(""))).alias("round_trip"),
+    )
+
+
 def op5_sharding(spark: SparkSession, sf: str) -> DataFrame:
     written = sharding.write_shards(table(spark, sf, "documents"), stage_path(spark))
     text, doc_id = F.coalesce("record.text", F.lit("")), F.col("record.doc_id").cast("long")
@@ -158,6 +173,7 @@ QUERIES = {
     "op1_topk": op1_topk,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_language": op3_language,
+    "op4_sentencepiece": op4_sentencepiece,
     "op5_sharding": op5_sharding,
     "op6_warc": op6_warc,
     "op7_html_extraction": op7_html_extraction,
