@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from trendloom.llm.components import components
-from trendloom.llm.wordhash import Runs, U, Words, mix
+from trendloom.llm.wordhash import Runs, U, Words, mix, slices
 from trendloom.session import stage
 
 SHINGLE = 3
@@ -29,6 +29,8 @@ FREQUENT = 1 << 16
 FREQUENT_IN_BATCH = 4
 SKETCH = 8
 COLUMN_BLOCKS = 4
+#: Sets that a task remembers to send once.
+MET = 1 << 18
 #: Rounds in which the centres of columns are met; what they leave open is settled by pairs, so only the work depends on it.
 ROUNDS = 3
 
@@ -73,10 +75,15 @@ class Incidence:
         value, word = U(1) << (bits & U(63)), (bits >> U(6)) % U(SKETCH)
         return [self._each(np.where(word == U(i), value, U(0)), np.bitwise_xor).view(np.int64) for i in range(SKETCH)]
 
-    def distinct_rows(self, signatures: np.ndarray, least: int = 1) -> np.ndarray:
-        """One row of each set in the batch, of at least ``least`` tokens."""
-        _, first = np.unique(signatures, return_index=True)
-        return first[self.sizes[first] >= least]
+
+def _first_met(sets: np.ndarray, met: set[int]) -> np.ndarray:
+    """Which rows hold a set that was not met before; the sets are then met."""
+    out = np.zeros(len(sets), bool)
+    for i, value in enumerate(sets.tolist()):
+        if value not in met:
+            met.add(value)
+            out[i] = True
+    return out
 
 
 def _columns(names: list[str], values: list) -> pa.RecordBatch:
@@ -92,14 +99,13 @@ def _survey(rows: DataFrame, width: int) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            found = Incidence(batch.column("text"), width)
-            sets, none = found.signatures(), pa.nulls(batch.num_rows, pa.int64())
-            yield _columns(names, [batch.column("id"), sets, found.sizes, *found.sketches(), none, none])
-            once = np.zeros(batch.num_rows, bool)
-            once[found.distinct_rows(sets)] = True
-            tokens, counts = np.unique(found.tokens[once[found.owner]], return_counts=True)
+            met, held = set(), [np.zeros(0, np.int64)]
+            for part in slices(batch):
+                found = Incidence(part.column("text"), width)
+                sets, none = found.signatures(), pa.nulls(part.num_rows, pa.int64())
+                yield _columns(names, [part.column("id"), sets, found.sizes, *found.sketches(), none, none])
+                held.append(found.tokens[_first_met(sets, met)[found.owner]])
+            tokens, counts = np.unique(np.concatenate(held), return_counts=True)
             tokens, counts = tokens[counts >= FREQUENT_IN_BATCH], counts[counts >= FREQUENT_IN_BATCH]
             none = pa.nulls(len(tokens), pa.int64())
             yield _columns(names, [none] * (3 + SKETCH) + [tokens, counts])
@@ -113,14 +119,12 @@ def _prefixes(rows: DataFrame, frequent: np.ndarray, width: int, least: int) ->
     known = frequent[order]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        met = set()
+        for batch in (part for whole in batches for part in slices(whole)):
             found = Incidence(batch.column("text"), width)
             sets = found.signatures()
-            once = np.zeros(batch.num_rows, bool)
-            once[found.distinct_rows(sets)] = True
-            mine = once[found.owner]
+            met = met if len(met) < MET else set()
+            mine = _first_met(sets, met)[found.owner]
             owner, tokens = found.owner[mine], found.tokens[mine]
             rank = np.zeros(len(tokens), np.int64)
             if len(known):
@@ -144,9 +148,7 @@ def _block_rows(rows: DataFrame, width: int) -> DataFrame:
     """(set, block, tokens): the sets of the given rows, cut into column blocks."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (part for whole in batches for part in slices(whole)):
             found = Incidence(batch.column("text"), width)
             sets, block = found.signatures(), found.tokens.view(U) % U(COLUMN_BLOCKS)
             for b in range(COLUMN_BLOCKS):

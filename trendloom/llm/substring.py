@@ -17,13 +17,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from trendloom.llm.wordhash import BASES, Runs, Words
+from trendloom.llm.wordhash import BASES, Runs, Words, slices
 
 #: A perfect difference set: its 20 differences are all the residues but 0, each once.
 PERIOD = 21
 COVER = (0, 1, 4, 14, 16)
 WINDOW = 35
 PART_BYTES = 32 << 20
+#: Windows of a batch that are packed together.
+HELD = 1 << 20
 
 PIECES = "part int, ids binary, sums binary, counts binary, places binary, hashes binary, more binary, held binary, held_more binary"
 MARKS = "id long, sum long, places binary"
@@ -49,11 +51,12 @@ def _settled(ids: np.ndarray, sums: np.ndarray, owner: np.ndarray, places: np.nd
             yield int(ids[own]), int(sums[own]), at.astype(np.uint32).tobytes()
 
 
-def _pieces(parts: int, ids, sums, owner, places, values, more) -> pa.RecordBatch | None:
-    """One row per part with the batch's entries; entries that repeat within the batch become marks (part below 0
-    means: already settled, goes to part ~part as it is)."""
-    if not len(values):
-        return None
+def _pieces(parts: int, ids: np.ndarray, sums: np.ndarray, entries: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """One row per part with a batch's entries (owner, place, hash, more); entries that repeat within the batch become
+    marks (part below 0 means: already settled, goes to part ~part as it is)."""
+    if not sum(len(e[0]) for e in entries):
+        return
+    owner, places, values, more = (np.concatenate(x) for x in zip(*entries))
     order, group = _repeats(values, more)
     several = (np.bincount(group) > 1)[group]
     local = np.zeros(len(values), bool)
@@ -66,13 +69,13 @@ def _pieces(parts: int, ids, sums, owner, places, values, more) -> pa.RecordBatc
         own, counts = np.unique(owner[mine], return_counts=True)
         mark = held[where[held] == part]
         if len(mine) or len(mark):
-            rows.append((part, ids[own].tobytes(), sums[own].tobytes(), counts.astype(np.uint32).tobytes(), places[mine].astype(np.uint32).tobytes(),
+            rows.append((part, ids[own].tobytes(), sums[own].tobytes(), counts.astype(np.uint32).tobytes(), places[mine].tobytes(),
                          values[mine].tobytes(), more[mine].tobytes(), values[mark].tobytes(), more[mark].tobytes()))
     found = np.flatnonzero(local)
     for i, (ident, total, at) in enumerate(_settled(ids, sums, owner[found], places[found])):
         rows.append((~((ident + i) % parts), np.int64(ident).tobytes(), np.int64(total).tobytes(), None, at, None, None, None, None))
     kinds = [pa.int32()] + [pa.binary()] * 8
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=[f.split()[0] for f in PIECES.split(", ")])
+    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=[f.split()[0] for f in PIECES.split(", ")])
 
 
 def _resolve(key: tuple, rows: pa.Table) -> pa.Table:
@@ -126,15 +129,17 @@ def _anchors(window: int, parts: int) -> Callable:
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words, (ids, sums) = Words(batch.column("text")), _arrays(batch)
-            counts = words.counts()
-            owner = np.repeat(np.arange(len(counts)), counts)
-            places = np.arange(len(owner)) - words.first[owner]
-            at = np.flatnonzero(cover[places % PERIOD] & (places + length <= counts[owner]) & (counts[owner] >= window))
-            values = Runs(words.hashes()).at(at, length)
-            out = _pieces(parts, ids, sums, owner[at], places[at], values, np.zeros(len(at), np.uint32))
-            if out is not None:
-                yield out
+            (ids, sums), entries, base = _arrays(batch), [], 0
+            for part in slices(batch):
+                words = Words(part.column("text"))
+                counts = words.counts()
+                owner = np.repeat(np.arange(len(counts)), counts)
+                places = np.arange(len(owner)) - words.first[owner]
+                at = np.flatnonzero(cover[places % PERIOD] & (places + length <= counts[owner]) & (counts[owner] >= window))
+                values = Runs(words.hashes()).at(at, length)
+                entries.append((base + owner[at], places[at].astype(np.uint32), values, np.zeros(len(at), np.uint32)))
+                base += len(counts)
+            yield from _pieces(parts, ids, sums, entries)
 
     return find
 
@@ -143,30 +148,33 @@ def _windows(window: int, parts: int) -> Callable:
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(batch.column("marks").is_valid())
-            if not batch.num_rows:
-                continue
-            words, (ids, sums) = Words(batch.column("text")), _arrays(batch)
-            counts, edges = words.counts(), np.zeros(len(words.begin) + 1, np.int64)
-            for i, marks in enumerate(batch.column("marks").to_pylist()):
-                at = _places(marks)
-                np.add.at(edges, words.first[i] + np.maximum(at - PERIOD + 1, 0), 1)
-                np.add.at(edges, words.first[i] + at + 1, -1)
-            owner = np.repeat(np.arange(len(counts)), counts)
-            places = np.arange(len(owner)) - words.first[owner]
-            at = np.flatnonzero((np.cumsum(edges)[:-1] > 0) & (places + window <= counts[owner]))
-            hashes = words.hashes()
-            values = Runs(hashes).at(at, window)
-            more = (Runs(hashes, BASES[1]).at(at, window) & 0xFFFFFFFF).astype(np.uint32)
-            out = _pieces(parts, ids, sums, owner[at], places[at], values, more)
-            if out is not None:
-                yield out
+            (ids, sums), entries, base, held = _arrays(batch), [], 0, 0
+            for part in slices(batch):
+                words = Words(part.column("text"))
+                counts, edges = words.counts(), np.zeros(len(words.begin) + 1, np.int64)
+                for i, marks in enumerate(part.column("marks").to_pylist()):
+                    at = _places(marks)
+                    np.add.at(edges, words.first[i] + np.maximum(at - PERIOD + 1, 0), 1)
+                    np.add.at(edges, words.first[i] + at + 1, -1)
+                owner = np.repeat(np.arange(len(counts)), counts)
+                places = np.arange(len(owner)) - words.first[owner]
+                at = np.flatnonzero((np.cumsum(edges)[:-1] > 0) & (places + window <= counts[owner]))
+                hashes = words.hashes()
+                values = Runs(hashes).at(at, window)
+                more = (Runs(hashes, BASES[1]).at(at, window) & 0xFFFFFFFF).astype(np.uint32)
+                entries.append((base + owner[at], places[at].astype(np.uint32), values, more))
+                base, held = base + len(counts), held + len(at)
+                if held > HELD:
+                    yield from _pieces(parts, ids, sums, entries)
+                    entries, held = [], 0
+            yield from _pieces(parts, ids, sums, entries)
 
     return extend
 
 
 def _cut(window: int) -> Callable:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             words = Words(batch.column("text"))
             counts, edges = words.counts(), np.zeros(len(words.begin) + 1, np.int64)
             for i, marks in enumerate(batch.column("marks").to_pylist()):
@@ -183,9 +191,9 @@ def _cut(window: int) -> Callable:
             source[last] = 0
             kept = words.data[source] if len(source) else words.data[:0]
             kept[last] = 32
-            whole, bounds = kept.tobytes(), ends[words.first].tolist()
+            whole_text, bounds = kept.tobytes(), ends[words.first].tolist()
             gone = np.concatenate([[0], np.cumsum(~stays)])[words.first]
-            texts = [whole[a : max(a, b - 1)] for a, b in zip(bounds, bounds[1:])]
+            texts = [whole_text[a : max(a, b - 1)] for a, b in zip(bounds, bounds[1:])]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(counts), pa.array(np.diff(gone)), pa.array(texts, pa.binary()).cast(pa.string())],
                 names=["doc_id", "n_words", "n_removed", "kept"],

@@ -8,6 +8,7 @@ come from running sums modulo 2**64 that are scaled back by powers of the invers
 from __future__ import annotations
 
 import functools
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +48,19 @@ def inverse(base: int) -> int:
     return pow(base, -1, 1 << 64)
 
 
+def slices(batch: pa.RecordBatch, column: str = "text", most_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Runs of rows of a batch whose texts take about ``most_bytes`` together; a longer text goes alone."""
+    texts = batch.column(column).cast(pa.large_binary())
+    if not len(texts):
+        return
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    begin = 0
+    while begin < len(texts):
+        end = max(begin + 1, int(np.searchsorted(offsets, offsets[begin] + most_bytes, side="right")) - 1)
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
 class Words:
     """The words of a batch of texts: ``begin`` and ``end`` in ``data``, and ``first``, the number of a text's first word."""
 
