@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from trendloom.llm.wordhash import BASES, Runs, Words, slices
+from trendloom.llm.wordhash import BASES, Runs, Words, mix, slices
 
 #: A perfect difference set: its 20 differences are all the residues but 0, each once.
 PERIOD = 21
@@ -28,7 +28,8 @@ PART_BYTES = 32 << 20
 HELD = 1 << 20
 
 PIECES = "part int, ids binary, sums binary, counts binary, places binary, hashes binary, more binary, held binary, held_more binary"
-MARKS = "id long, sum long, places binary"
+MARKS = "of int, ids binary, sums binary, counts binary, places binary"
+MERGED = "m_id long, m_sum long, marks binary"
 
 
 def _firsts(values: np.ndarray, more: np.ndarray) -> np.ndarray:
@@ -43,17 +44,24 @@ def _repeats(values: np.ndarray, more: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return order, np.cumsum(_firsts(values[order], more[order])) - 1
 
 
-def _settled(ids: np.ndarray, sums: np.ndarray, owner: np.ndarray, places: np.ndarray) -> Iterator[tuple]:
-    """(id, sum, packed places) for every owner that has some; entries are in the order of owners."""
-    if len(owner):
-        cuts = np.flatnonzero(np.diff(owner)) + 1
-        for own, at in zip(owner[np.r_[0, cuts]].tolist(), np.split(places, cuts)):
-            yield int(ids[own]), int(sums[own]), at.astype(np.uint32).tobytes()
+def _bucket(ids: np.ndarray, sums: np.ndarray, parts: int) -> np.ndarray:
+    """Where the marks of a document are brought together."""
+    return (mix(ids.view(np.uint64) ^ mix(sums.view(np.uint64))) % np.uint64(parts)).astype(np.int64)
+
+
+def _marks(parts: int, ids: np.ndarray, sums: np.ndarray, owner: np.ndarray, places: np.ndarray) -> Iterator[tuple]:
+    """(bucket, ids, sums, counts, places), packed, for each bucket that gets some; entries are in the order of owners."""
+    bucket = _bucket(ids, sums, parts)[owner]
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+    for mine in np.split(order, cuts) if len(order) else ():
+        own, counts = np.unique(owner[mine], return_counts=True)
+        yield int(bucket[mine[0]]), ids[own].tobytes(), sums[own].tobytes(), counts.astype(np.uint32).tobytes(), places[mine].tobytes()
 
 
 def _pieces(parts: int, ids: np.ndarray, sums: np.ndarray, entries: list[tuple]) -> Iterator[pa.RecordBatch]:
     """One row per part with a batch's entries (owner, place, hash, more); entries that repeat within the batch become
-    marks (part below 0 means: already settled, goes to part ~part as it is)."""
+    marks (part below 0 means: marks for bucket ~part)."""
     if not sum(len(e[0]) for e in entries):
         return
     owner, places, values, more = (np.concatenate(x) for x in zip(*entries))
@@ -72,50 +80,63 @@ def _pieces(parts: int, ids: np.ndarray, sums: np.ndarray, entries: list[tuple])
             rows.append((part, ids[own].tobytes(), sums[own].tobytes(), counts.astype(np.uint32).tobytes(), places[mine].tobytes(),
                          values[mine].tobytes(), more[mine].tobytes(), values[mark].tobytes(), more[mark].tobytes()))
     found = np.flatnonzero(local)
-    for i, (ident, total, at) in enumerate(_settled(ids, sums, owner[found], places[found])):
-        rows.append((~((ident + i) % parts), np.int64(ident).tobytes(), np.int64(total).tobytes(), None, at, None, None, None, None))
+    rows += [(~bucket, *packed, None, None, None, None) for bucket, *packed in _marks(parts, ids, sums, owner[found], places[found])]
     kinds = [pa.int32()] + [pa.binary()] * 8
     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=[f.split()[0] for f in PIECES.split(", ")])
 
 
-def _resolve(key: tuple, rows: pa.Table) -> pa.Table:
+def _resolve(parts: int) -> Callable:
     """Marks: the places in each document whose hash occurs in another piece of the part, or several times in its batch."""
-    marks, ids, sums, owner, places, values, more, held, held_more = [], [], [], [], [], [], [], [], []
-    start = 0
-    for r in rows.select(["part", *[f.split()[0] for f in PIECES.split(", ")][1:]]).to_pylist():
-        if r["part"] < 0:
-            marks.append((int(np.frombuffer(r["ids"], np.int64)[0]), int(np.frombuffer(r["sums"], np.int64)[0]), r["places"]))
-            continue
-        ids.append(np.frombuffer(r["ids"], np.int64))
-        sums.append(np.frombuffer(r["sums"], np.int64))
-        owner.append(np.repeat(np.arange(start, start + len(ids[-1])), np.frombuffer(r["counts"], np.uint32)))
-        start += len(ids[-1])
-        for out, name, kind in ((places, "places", np.uint32), (values, "hashes", np.int64), (more, "more", np.uint32), (held, "held", np.int64), (held_more, "held_more", np.uint32)):
-            out.append(np.frombuffer(r[name], kind))
-    if values:
-        own = np.concatenate(owner)
-        order, group = _repeats(np.concatenate(values + held), np.concatenate(more + held_more))
-        several = np.zeros(len(order), bool)
-        several[order] = (np.bincount(group) > 1)[group]
-        found = np.flatnonzero(several[: len(own)])
-        marks += _settled(np.concatenate(ids), np.concatenate(sums), own[found], np.concatenate(places)[found])
-    kinds = [pa.int64(), pa.int64(), pa.binary()]
-    columns = list(zip(*marks)) if marks else [[], [], []]
-    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=["id", "sum", "places"])
-
-
-def _marked(pieces: DataFrame) -> DataFrame:
-    """All marks of a document in one row; a document has at most as many as places."""
-    return (
-        pieces.groupBy(F.when(F.col("part") < 0, -1 - F.col("part")).otherwise(F.col("part")).alias("of"))
-        .applyInArrow(_resolve, MARKS)
-        .groupBy(F.col("id").alias("m_id"), F.col("sum").alias("m_sum"))
-        .agg(F.collect_list("places").alias("marks"))
+
+    def resolve(key: tuple, rows: pa.Table) -> pa.Table:
+        marks, ids, sums, owner, places, values, more, held, held_more = [], [], [], [], [], [], [], [], []
+        start = 0
+        for r in rows.to_pylist():
+            if r["part"] < 0:
+                marks.append((~r["part"], r["ids"], r["sums"], r["counts"], r["places"]))
+                continue
+            ids.append(np.frombuffer(r["ids"], np.int64))
+            sums.append(np.frombuffer(r["sums"], np.int64))
+            owner.append(np.repeat(np.arange(start, start + len(ids[-1])), np.frombuffer(r["counts"], np.uint32)))
+            start += len(ids[-1])
+            for out, name, kind in ((places, "places", np.uint32), (values, "hashes", np.int64), (more, "more", np.uint32), (held, "held", np.int64), (held_more, "held_more", np.uint32)):
+                out.append(np.frombuffer(r[name], kind))
+        if values:
+            own = np.concatenate(owner)
+            order, group = _repeats(np.concatenate(values + held), np.concatenate(more + held_more))
+            several = np.zeros(len(order), bool)
+            several[order] = (np.bincount(group) > 1)[group]
+            found = np.flatnonzero(several[: len(own)])
+            marks += _marks(parts, np.concatenate(ids), np.concatenate(sums), own[found], np.concatenate(places)[found])
+        kinds = [pa.int32()] + [pa.binary()] * 4
+        columns = list(zip(*marks)) if marks else [[]] * 5
+        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=[f.split()[0] for f in MARKS.split(", ")])
+
+    return resolve
+
+
+def _merge(key: tuple, rows: pa.Table) -> pa.Table:
+    """One row per document of a bucket with all its marks."""
+    ids, sums, counts, places = (
+        np.concatenate([np.frombuffer(x, kind) for x in rows.column(name).to_pylist()])
+        for name, kind in (("ids", np.int64), ("sums", np.int64), ("counts", np.uint32), ("places", np.uint32))
     )
+    owner = np.repeat(np.arange(len(ids)), counts)
+    order = np.lexsort((places, sums[owner], ids[owner]))
+    ids, sums, places = ids[owner[order]], sums[owner[order]], places[order]
+    first = np.flatnonzero(_firsts(ids, sums))
+    packed = [x.tobytes() for x in np.split(places, first[1:])]
+    return pa.table([pa.array(ids[first]), pa.array(sums[first]), pa.array(packed, pa.binary())], names=["m_id", "m_sum", "marks"])
+
+
+def _marked(pieces: DataFrame, parts: int) -> DataFrame:
+    """All marks of a document in one row; a document has at most as many as places."""
+    part = F.when(F.col("part") < 0, -1 - F.col("part")).otherwise(F.col("part"))
+    return pieces.groupBy(part.alias("dealt")).applyInArrow(_resolve(parts), MARKS).groupBy("of").applyInArrow(_merge, MERGED)
 
 
-def _places(marks) -> np.ndarray:
-    return np.unique(np.concatenate([np.frombuffer(x, np.uint32) for x in marks])).astype(np.int64)
+def _places(marks: bytes) -> np.ndarray:
+    return np.unique(np.frombuffer(marks, np.uint32)).astype(np.int64)
 
 
 def _arrays(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -219,7 +240,7 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def with_marks(marks: DataFrame) -> DataFrame:
         return rows.join(marks, (F.col("id") == F.col("m_id")) & (F.col("sum") == F.col("m_sum")), "left").drop("m_id", "m_sum")
 
-    anchors = _marked(rows.mapInArrow(_anchors(window, parts), PIECES))
-    windows = _marked(with_marks(anchors).mapInArrow(_windows(window, parts), PIECES))
+    anchors = _marked(rows.mapInArrow(_anchors(window, parts), PIECES), parts)
+    windows = _marked(with_marks(anchors).mapInArrow(_windows(window, parts), PIECES), parts)
     return with_marks(windows).mapInArrow(_cut(window), "doc_id long, n_words long, n_removed long, kept string")
 
