@@ -12,6 +12,8 @@ meets the group's centre first, and then only documents still in different compo
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +34,7 @@ COLUMN_BLOCKS = 4
 #: Sets that a task remembers to send once.
 MET = 1 << 18
 #: Rounds in which the centres of columns are met; what they leave open is settled by pairs, so only the work depends on it.
-ROUNDS = 3
+ROUNDS = 2
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -91,6 +93,8 @@ def _columns(names: list[str], values: list) -> pa.RecordBatch:
 
 
 SKETCHES = [f"k{i}" for i in range(SKETCH)]
+#: The part of the sketches that goes along with the tokens.
+COARSE = SKETCHES[:2]
 
 
 def _survey(rows: DataFrame, width: int) -> DataFrame:
@@ -167,25 +171,36 @@ def _may_link(x: str, y: str, least: int) -> Column:
     return (F.least(nx, ny) * 100 >= F.greatest(nx, ny) * least) & (rest * (100 + least) >= (nx + ny) * least)
 
 
-def _near(x: str, y: str, least: int) -> Column:
+def _near(x: str, y: str, least: int, bits: list[str]) -> Column:
     """The parity sketches allow the overlap: tokens that differ are at least the bits that differ."""
-    apart = sum((F.bit_count(F.col(f"{x}.{k}").bitwiseXOR(F.col(f"{y}.{k}"))) for k in SKETCHES[1:]), F.bit_count(F.col(f"{x}.k0").bitwiseXOR(F.col(f"{y}.k0"))))
+    apart = reduce(add, [F.bit_count(F.col(f"{x}.{k}").bitwiseXOR(F.col(f"{y}.{k}"))) for k in bits])
     total = F.col(f"{x}.n") + F.col(f"{y}.n")
     return apart * (100 + least) <= total * (100 - least)
 
 
-def _verified(pairs: DataFrame, blocks: DataFrame, least: int) -> DataFrame:
-    """Of the pairs (x, y as structs), those whose accumulated overlap reaches the threshold, as links (a, b) of their ids."""
-    rows = blocks.select(F.col("set").alias("of_x"), "block", F.col("tokens").alias("tokens_x"))
-    columns = blocks.select(F.col("set").alias("of_y"), F.col("block").alias("block_y"), F.col("tokens").alias("tokens_y"))
-    product = pairs.join(rows, F.col("x.set") == F.col("of_x")).join(columns, (F.col("y.set") == F.col("of_y")) & (F.col("block") == F.col("block_y")))
-    overlap = product.groupBy("x", "y").agg(F.sum(F.size(F.array_intersect("tokens_x", "tokens_y"))).alias("n"))
-    total = F.col("x.n") + F.col("y.n")
-    return overlap.filter(F.col("n") * (100 + least) >= total * least).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+def _links(pairs: DataFrame, sets: DataFrame, rows: DataFrame, width: int, least: int) -> DataFrame:
+    """Of candidate pairs (x, y: rows of a column), those that reach the threshold, as links (a, b) of their ids.
 
-
-def _struct(*extra: str) -> Column:
-    return F.struct("set", "id", "n", *SKETCHES, *extra)
+    The whole sketches discard most of the others; the overlaps of the rest are summed up over the column blocks.
+    """
+    low, high = F.least("x.set", "y.set"), F.greatest("x.set", "y.set")
+    met = pairs.select(low.alias("low"), high.alias("high")).filter("low <> high").distinct()
+    one = sets.select(F.struct("set", "id", "n", *SKETCHES).alias("x"))
+    two = sets.select(F.struct("set", "id", "n", *SKETCHES).alias("y"))
+    close = stage(
+        met.join(one, F.col("low") == F.col("x.set")).join(two, F.col("high") == F.col("y.set"))
+        .filter(_near("x", "y", least, SKETCHES))
+        .select("low", "high", F.col("x.id").alias("a"), F.col("y.id").alias("b"), (F.col("x.n") + F.col("y.n")).alias("total"))
+    )
+    if close.isEmpty():
+        return close.select("a", "b")
+    wanted = stage(close.select(F.col("a").alias("of")).union(close.select("b")).distinct())
+    blocks = stage(_block_rows(rows.join(wanted, F.col("id") == F.col("of"), "left_semi"), width))
+    row = blocks.select(F.col("set").alias("of_x"), "block", F.col("tokens").alias("tokens_x"))
+    column = blocks.select(F.col("set").alias("of_y"), F.col("block").alias("block_y"), F.col("tokens").alias("tokens_y"))
+    product = close.join(row, F.col("low") == F.col("of_x")).join(column, (F.col("high") == F.col("of_y")) & (F.col("block") == F.col("block_y")))
+    overlap = product.groupBy("a", "b", "low", "high", "total").agg(F.sum(F.size(F.array_intersect("tokens_x", "tokens_y"))).alias("n"))
+    return stage(overlap.filter(F.col("n") * (100 + least) >= F.col("total") * least).select("a", "b"))
 
 
 def near_duplicates(
@@ -215,10 +230,7 @@ def near_duplicates(
     prefixes = _prefixes(named, last, width, least)
     shared = prefixes.groupBy("token").agg(F.min("set").alias("low"), F.max("set").alias("high")).filter("low <> high").select(F.col("token").alias("of"))
     hits = stage(prefixes.join(shared, F.col("token") == F.col("of")).drop("of").groupBy("token", "set").agg(F.min("place").alias("place")))
-    met = hits.select(F.col("set").alias("of")).distinct()
-    full = stage(hits.join(sets, "set").select("token", _struct("place").alias("x")))
-    wanted = sets.join(met, F.col("set") == F.col("of"), "left_semi").select(F.col("id").alias("of"))
-    blocks = stage(_block_rows(named.join(wanted, F.col("id") == F.col("of"), "left_semi"), width))
+    full = stage(hits.join(sets, "set").select("token", F.struct("set", "id", "n", "place", *COARSE).alias("x")))
 
     links = spark.createDataFrame([], "a long, b long")
     labels = sets.select(F.col("id").alias("node"), F.col("id").alias("component")).distinct()
@@ -239,20 +251,19 @@ def near_duplicates(
         pairs = (
             rest.join(centres, F.col("token") == F.col("of"))
             .select("x", "component", F.col("c.y").alias("y"), F.col("c.y_component").alias("y_component"))
-            .filter((F.col("component") != F.col("y_component")) & _may_link("x", "y", least) & _near("x", "y", least))
+            .filter((F.col("component") != F.col("y_component")) & _may_link("x", "y", least) & _near("x", "y", least, COARSE))
         )
-        found = stage(_verified(_distinct(pairs), blocks, least))
+        found = _links(pairs, sets, named, width, least)
         if found.isEmpty():
             break
         links = stage(links.union(found))
         labels = components(links)
 
     # What the centres left open: rows outside the centre's component against all rows of other components.
-    x, y = rest.filter("outside").select("token", "x", "component"), rest.select(F.col("token").alias("of"), F.col("x").alias("y"), F.col("component").alias("y_component"))
-    pairs = x.join(
-        y, (F.col("token") == F.col("of")) & (F.col("component") != F.col("y_component")) & _may_link("x", "y", least) & _near("x", "y", least)
-    ).select("x", "y")
-    found = stage(_verified(_distinct(pairs), blocks, least))
+    one = rest.filter("outside").select("token", "x", "component")
+    other = rest.select(F.col("token").alias("of"), F.col("x").alias("y"), F.col("component").alias("y_component"))
+    possible = (F.col("component") != F.col("y_component")) & _may_link("x", "y", least) & _near("x", "y", least, COARSE)
+    found = _links(one.join(other, (F.col("token") == F.col("of")) & possible), sets, named, width, least)
     if not found.isEmpty():
         labels = components(links.union(found))
     if not links.isEmpty() or not found.isEmpty():
@@ -271,15 +282,6 @@ def near_duplicates(
     )
 
 
-def _distinct(pairs: DataFrame) -> DataFrame:
-    """Each pair of sets once, the smaller signature first, without places."""
-    bare = lambda s: F.struct(*[F.col(f"{s}.{c}") for c in ("set", "id", "n")])
-    low, high = F.col("x.set") < F.col("y.set"), F.col("x.set") > F.col("y.set")
-    return pairs.filter(low | high).select(
-        F.when(low, bare("x")).otherwise(bare("y")).alias("x"), F.when(low, bare("y")).otherwise(bare("x")).alias("y")
-    ).distinct()
-
-
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The row with the smallest id of every component, unchanged; rows without an id all stay."""
     gone = near_duplicates(docs, id_col, **options).filter("component_id <> doc_id").select(F.col("doc_id").alias("__gone"))
