@@ -27,14 +27,16 @@ SHINGLE = 3
 #: Threshold in per cent.
 LEAST = 90
 #: Frequent n-grams that are put last in the order; only the order depends on the bound.
-FREQUENT = 1 << 16
-FREQUENT_IN_BATCH = 4
+FREQUENT = 1 << 18
+FREQUENT_IN_BATCH = 3
 SKETCH = 8
 COLUMN_BLOCKS = 4
+#: Ids of documents in close pairs are sent to the executors up to this size.
+BROADCAST_BYTES = 32 << 20
 #: Sets that a task remembers to send once.
 MET = 1 << 18
 #: Rounds in which the centres of columns are met; what they leave open is settled by pairs, so only the work depends on it.
-ROUNDS = 2
+ROUNDS = 1
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -183,19 +185,20 @@ def _links(pairs: DataFrame, sets: DataFrame, rows: DataFrame, width: int, least
 
     The whole sketches discard most of the others; the overlaps of the rest are summed up over the column blocks.
     """
-    low, high = F.least("x.set", "y.set"), F.greatest("x.set", "y.set")
-    met = pairs.select(low.alias("low"), high.alias("high")).filter("low <> high").distinct()
+    met = pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).filter("a <> b").distinct()
     one = sets.select(F.struct("set", "id", "n", *SKETCHES).alias("x"))
     two = sets.select(F.struct("set", "id", "n", *SKETCHES).alias("y"))
     close = stage(
-        met.join(one, F.col("low") == F.col("x.set")).join(two, F.col("high") == F.col("y.set"))
+        met.join(one, F.col("a") == F.col("x.id")).join(two, F.col("b") == F.col("y.id"))
         .filter(_near("x", "y", least, SKETCHES))
-        .select("low", "high", F.col("x.id").alias("a"), F.col("y.id").alias("b"), (F.col("x.n") + F.col("y.n")).alias("total"))
+        .select("a", "b", F.col("x.set").alias("low"), F.col("y.set").alias("high"), (F.col("x.n") + F.col("y.n")).alias("total"))
     )
     if close.isEmpty():
         return close.select("a", "b")
     wanted = stage(close.select(F.col("a").alias("of")).union(close.select("b")).distinct())
-    blocks = stage(_block_rows(rows.join(wanted, F.col("id") == F.col("of"), "left_semi"), width))
+    # Ids of eight bytes; beyond the limit they meet the texts by a shuffle.
+    few = 8 * wanted.count() <= BROADCAST_BYTES
+    blocks = stage(_block_rows(rows.join(F.broadcast(wanted) if few else wanted, F.col("id") == F.col("of"), "left_semi"), width))
     row = blocks.select(F.col("set").alias("of_x"), "block", F.col("tokens").alias("tokens_x"))
     column = blocks.select(F.col("set").alias("of_y"), F.col("block").alias("block_y"), F.col("tokens").alias("tokens_y"))
     product = close.join(row, F.col("low") == F.col("of_x")).join(column, (F.col("high") == F.col("of_y")) & (F.col("block") == F.col("block_y")))
@@ -228,16 +231,19 @@ def near_duplicates(
     # Pairs come from the columns of the prefixes; a column with one set has none.
     named = rows.filter("id IS NOT NULL")
     prefixes = _prefixes(named, last, width, least)
-    shared = prefixes.groupBy("token").agg(F.min("set").alias("low"), F.max("set").alias("high")).filter("low <> high").select(F.col("token").alias("of"))
+    member = F.struct("set", "n", "place")
+    columns = prefixes.groupBy(F.col("token").alias("of")).agg(F.min(member).alias("x"), F.max(member).alias("y"), F.count(F.lit(1)).alias("rows"))
+    # Most columns hold two sets that met by chance; the bounds discard these pairs at once.
+    shared = columns.filter((F.col("x.set") != F.col("y.set")) & ((F.col("rows") > 2) | _may_link("x", "y", least))).select("of")
     hits = stage(prefixes.join(shared, F.col("token") == F.col("of")).drop("of").groupBy("token", "set").agg(F.min("place").alias("place")))
-    full = stage(hits.join(sets, "set").select("token", F.struct("set", "id", "n", "place", *COARSE).alias("x")))
+    full = stage(hits.join(sets, "set").select("token", F.struct("id", F.col("n").cast("int").alias("n"), F.col("place").cast("int").alias("place"), *COARSE).alias("x")))
 
     links = spark.createDataFrame([], "a long, b long")
-    labels = sets.select(F.col("id").alias("node"), F.col("id").alias("component")).distinct()
+    labels = None
     for turn in range(ROUNDS + 1):
-        known = full.join(labels.withColumnRenamed("node", "of"), F.col("x.id") == F.col("of"), "left").select(
-            "token", "x", F.coalesce("component", "x.id").alias("component")
-        )
+        known = full.withColumn("component", F.col("x.id"))
+        if labels is not None:
+            known = full.join(labels, F.col("x.id") == F.col("node"), "left").select("token", "x", F.coalesce("component", "x.id").alias("component"))
         # Columns whose rows are all in one component are settled. Elsewhere the rows outside the centre's component meet a centre of their own.
         open_ = known.groupBy(F.col("token").alias("of")).agg(
             F.min("component").alias("low"), F.max("component").alias("high"), F.min(F.struct("x.place", "x.n", "x.id", "component")).alias("centre")
