@@ -41,17 +41,18 @@ def op3_language(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op4_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
-    sampled = pieces.encode(table(spark, sf, "documents")).select("row", F.explode("samples").alias("s"))
+    docs = table(spark, sf, "documents").select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
+    sampled = pieces.encode(docs).select("row.doc_id", "row.text_hash", F.explode("samples").alias("s"))
     decoded = pieces.decode(sampled, F.col("s.tokens"))
     return decoded.select(
-        F.col("row.doc_id").alias("doc_id"),
+        "doc_id",
         F.col("s.rank").alias("rank"),
         F.size("s.tokens").cast("long").alias("n_tokens"),
         F.xxhash64("s.tokens").alias("tokens_hash"),
         F.col("s.log_prob").alias("log_prob"),
         F.col("s.perturbed").alias("perturbed"),
         F.col("s.inclusion").alias("inclusion"),
-        (F.col("decoded") == F.coalesce("row.text", F.lit(""))).alias("round_trip"),
+        (F.xxhash64("decoded") == F.col("text_hash")).alias("round_trip"),
     )
 
 
