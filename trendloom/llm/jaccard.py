@@ -29,10 +29,12 @@ LEAST = 90
 #: Frequent n-grams that are put last in the order; only the order depends on the bound.
 FREQUENT = 1 << 18
 FREQUENT_IN_BATCH = 3
-SKETCH = 8
+SKETCH = 16
 COLUMN_BLOCKS = 4
 #: Ids of documents in close pairs are sent to the executors up to this size.
 BROADCAST_BYTES = 32 << 20
+#: Tokens among which a task looks for frequent ones.
+HELD = 1 << 21
 #: Sets that a task remembers to send once.
 MET = 1 << 18
 #: Rounds in which the centres of columns are met; what they leave open is settled by pairs, so only the work depends on it.
@@ -75,9 +77,10 @@ class Incidence:
 
     def sketches(self) -> list[np.ndarray]:
         """Parity of the tokens that fall on each of 64 * SKETCH bits: two sets differ in at least as many tokens as bits."""
-        bits = mix(self.tokens.view(U) ^ U(0x2545F4914F6CDD1D))
-        value, word = U(1) << (bits & U(63)), (bits >> U(6)) % U(SKETCH)
-        return [self._each(np.where(word == U(i), value, U(0)), np.bitwise_xor).view(np.int64) for i in range(SKETCH)]
+        bits = (mix(self.tokens.view(U) ^ U(0x2545F4914F6CDD1D)) % U(64 * SKETCH)).astype(np.int64)
+        odd = np.bincount(self.owner * (64 * SKETCH) + bits, minlength=len(self.sizes) * 64 * SKETCH) & 1
+        words = np.packbits(odd.astype(np.uint8)).view(np.int64).reshape(len(self.sizes), SKETCH)
+        return [np.ascontiguousarray(words[:, i]) for i in range(SKETCH)]
 
 
 def _first_met(sets: np.ndarray, met: set[int]) -> np.ndarray:
@@ -99,28 +102,41 @@ SKETCHES = [f"k{i}" for i in range(SKETCH)]
 COARSE = SKETCHES[:2]
 
 
+def _frequent(names: list[str], held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    if held:
+        tokens, counts = np.unique(np.concatenate(held), return_counts=True)
+        tokens, counts = tokens[counts >= FREQUENT_IN_BATCH], counts[counts >= FREQUENT_IN_BATCH]
+        yield _columns(names, [pa.nulls(len(tokens), pa.int64())] * (len(names) - 2) + [tokens, counts])
+
+
 def _survey(rows: DataFrame, width: int) -> DataFrame:
     """One row per document (id, set, n, sketch), and rows (token, seen) for n-grams that are frequent in a batch."""
     names = ["id", "set", "n", *SKETCHES, "token", "seen"]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            met, held = set(), [np.zeros(0, np.int64)]
+            met, held = set(), []
             for part in slices(batch):
+                if sum(map(len, held)) > HELD:
+                    yield from _frequent(names, held)
+                    held = []
                 found = Incidence(part.column("text"), width)
                 sets, none = found.signatures(), pa.nulls(part.num_rows, pa.int64())
                 yield _columns(names, [part.column("id"), sets, found.sizes, *found.sketches(), none, none])
                 held.append(found.tokens[_first_met(sets, met)[found.owner]])
-            tokens, counts = np.unique(np.concatenate(held), return_counts=True)
-            tokens, counts = tokens[counts >= FREQUENT_IN_BATCH], counts[counts >= FREQUENT_IN_BATCH]
-            none = pa.nulls(len(tokens), pa.int64())
-            yield _columns(names, [none] * (3 + SKETCH) + [tokens, counts])
+            yield from _frequent(names, held)
 
     return stage(rows.mapInArrow(read, ", ".join(f"{n} long" for n in names)))
 
 
 def _prefixes(rows: DataFrame, frequent: np.ndarray, width: int, least: int) -> DataFrame:
-    """(token, set, n, place): the first tokens of every set in the order of rarity, one more than may be missed."""
+    """(token, set, n, place): the first tokens of every set in the order of rarity, one more than may be missed.
+
+    Tokens are told apart by bands of set sizes, a band as wide as sizes of linked sets may differ. A set stands in its own
+    band with the tokens that it may share with smaller sets, and in the next one with the fewer that it may share
+    with larger sets.
+    """
+    width_of_band = 1.0001 * np.log(100 / least)
     order = np.argsort(frequent)
     known = frequent[order]
 
@@ -142,10 +158,14 @@ def _prefixes(rows: DataFrame, frequent: np.ndarray, width: int, least: int) ->
             starts = np.ones(len(owner), bool)
             starts[1:] = owner[1:] != owner[:-1]
             place = np.arange(len(owner)) - np.maximum.accumulate(np.where(starts, np.arange(len(owner)), 0))
-            must = -(-sizes * least // 100)
+            band = (np.log(sizes) / width_of_band).astype(np.int64)
             # Of small sets one token more or less is already too much: no other set links with them.
-            kept = (place < sizes - must + 1) & (least * (sizes + 1) <= 100 * sizes)
-            yield _columns(["token", "set", "n", "place"], [tokens[kept], sets[owner[kept]], sizes[kept], place[kept]])
+            able = least * (sizes + 1) <= 100 * sizes
+            own = able & (place <= sizes + (-sizes * least // 100))
+            next_ = able & (place <= sizes + (-2 * sizes * least // (100 + least)))
+            for kept, band_of in ((own, band), (next_, band + 1)):
+                named = mix(tokens[kept].view(U) + band_of[kept].astype(U) * U(0x9E3779B97F4A7C15)).view(np.int64)
+                yield _columns(["token", "set", "n", "place"], [named, sets[owner[kept]], sizes[kept], place[kept]])
 
     return rows.mapInArrow(read, "token long, set long, n long, place long")
 
@@ -163,7 +183,7 @@ def _block_rows(rows: DataFrame, width: int) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(found.tokens[mine]))
                 yield _columns(["set", "block", "tokens"], [sets, np.full(batch.num_rows, b, np.int32), lists])
 
-    return rows.mapInArrow(read, "set long, block int, tokens array<long>").dropDuplicates(["set", "block"])
+    return rows.mapInArrow(read, "set long, block int, tokens array<long>")
 
 
 def _may_link(x: str, y: str, least: int) -> Column:
@@ -202,7 +222,9 @@ def _links(pairs: DataFrame, sets: DataFrame, rows: DataFrame, width: int, least
     row = blocks.select(F.col("set").alias("of_x"), "block", F.col("tokens").alias("tokens_x"))
     column = blocks.select(F.col("set").alias("of_y"), F.col("block").alias("block_y"), F.col("tokens").alias("tokens_y"))
     product = close.join(row, F.col("low") == F.col("of_x")).join(column, (F.col("high") == F.col("of_y")) & (F.col("block") == F.col("block_y")))
-    overlap = product.groupBy("a", "b", "low", "high", "total").agg(F.sum(F.size(F.array_intersect("tokens_x", "tokens_y"))).alias("n"))
+    # Repeated rows give a block more than once, with the same count.
+    each = product.groupBy("a", "b", "total", "block").agg(F.max(F.size(F.array_intersect("tokens_x", "tokens_y"))).alias("n"))
+    overlap = each.groupBy("a", "b", "total").agg(F.sum("n").alias("n"))
     return stage(overlap.filter(F.col("n") * (100 + least) >= F.col("total") * least).select("a", "b"))
 
 
