@@ -27,7 +27,7 @@ SEED = 20240611
 SAMPLES = 2
 ALPHA = 1.0
 #: Characters of text that are walked together; a longer text goes alone.
-BATCH_CHARS = 3 << 19
+BATCH_CHARS = 1 << 20
 #: -log(-log(u)) of the largest uniform draw, rounded up.
 MOST_NOISE = 37.0
 

@@ -23,6 +23,8 @@ BLOCK_ROWS = 1024
 CHUNK_ROWS = 128
 #: Rounding of a distance, as a share of the common length; far above that of doubles.
 SLACK = 1e-6
+#: Below every score, and safe to negate.
+NONE = -(1 << 62)
 
 INDEX = "pivot int, low double, high double, n int, width int, ids binary, data binary"
 
@@ -164,7 +166,7 @@ def top_k(
 
     def best(ids, scores, own, keep):
         """Per query the best ``keep`` of a block, ties to smaller ids."""
-        scores = np.where(own, np.iinfo(np.int64).min, scores)
+        scores = np.where(own, NONE, scores)
         order = np.lexsort((np.broadcast_to(ids, scores.shape), -scores), axis=1)[:, :keep]
         return np.take_along_axis(np.broadcast_to(ids, scores.shape), order, 1), np.take_along_axis(scores, order, 1)
 
@@ -175,7 +177,7 @@ def top_k(
                 ids, data = _unpack(r["ids"], r["data"], r["n"], r["width"])
                 own = q_ids[:, None] == ids
                 _, scores = best(ids, _products(q, data), own, k)
-                row, _ = np.nonzero(valid := scores > np.iinfo(np.int64).min)
+                row, _ = np.nonzero(valid := scores > NONE)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(row), r["chunk"])), pa.array(q_ids[row]), pa.array(scores[valid])], names=["of", "query_id", "score"])
 
     ranked = Window.partitionBy("of", "query_id").orderBy(F.desc("score"))
@@ -218,7 +220,7 @@ def top_k(
         at = None
 
         def found():
-            row, _ = np.nonzero(valid := (scores > np.iinfo(np.int64).min) & (scores >= limits[:, None]))
+            row, _ = np.nonzero(valid := (scores > NONE) & (scores >= limits[:, None]))
             return pa.RecordBatch.from_arrays([pa.array(q_ids[row]), pa.array(ids_best[valid]), pa.array(scores[valid])], names=["query_id", "vec_id", "score"])
 
         for batch in batches:
