@@ -22,11 +22,14 @@ from trendloom.session import stage
 
 #: The place of a row: the partition in the upper bits, its index there below.
 PART_BITS = 40
+SPLITTER_CHARS = 32
 
 
 def _sorted_runs(docs: DataFrame, id_col: str, text_col: str, carry: bool) -> DataFrame:
     """One staged row per document, in content order, and one ``edge`` row per partition."""
-    key, ident = F.coalesce(F.col("row.text"), F.lit("")), F.col("row.id")
+    text, ident = F.coalesce(F.col("row.text"), F.lit("")), F.col("row.id")
+    # The order is by content: first bytes, then the digest of all, so that sampled splitters stay short.
+    order = [F.substring(text, 1, SPLITTER_CHARS), F.sha2(text, 256), ident]
     columns = [F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")]
     if carry:
         columns.append(whole_row(docs.drop(text_col)).alias("rest"))
@@ -49,7 +52,7 @@ def _sorted_runs(docs: DataFrame, id_col: str, text_col: str, carry: bool) -> Da
     def emit(part, row, opens, closes, digests, run, index):
         n = len(row)
         if not carry:
-            row = pa.StructArray.from_arrays([row.field("id")], names=["id"])
+            row = pa.StructArray.from_arrays([row.field("id")], fields=[row.type.field("id")])
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(np.full(n, part, np.int32)),
@@ -106,7 +109,7 @@ def _sorted_runs(docs: DataFrame, id_col: str, text_col: str, carry: bool) -> Da
                 names=schema.names,
             )
 
-    return stage(rows.repartitionByRange(key, ident).sortWithinPartitions(key, ident).mapInArrow(number, schema))
+    return stage(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(number, schema))
 
 
 def _numbered(staged: DataFrame) -> DataFrame:
