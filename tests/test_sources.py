@@ -125,3 +125,18 @@ def test_cluster_without_shared_folder_is_refused():
 
     with pytest.raises(RuntimeError):
         shared_folder(Session())
+
+
+def test_sink_keeps_other_metrics(spark, tmp_path, rows):
+    path = str(tmp_path / "trends")
+    for metric in ("a", "b", "a"):
+        sink.write_trends(conform(spark.createDataFrame([("2020", metric, 1.0)], "year string, metric string, estimate double")), path)
+    assert rows(sink.read_trends(spark, path), "metric") == [("a",), ("b",)]
+
+
+def test_doubled_quotes_and_headers_in_another_order(spark, tmp_path):
+    one = write(tmp_path / "t" / "1.csv", "a,b", '"Metro ""King"", Ferry",2')
+    assert readers.read_wide(spark, one).first()[0] == 'Metro "King", Ferry'
+    write(tmp_path / "t" / "2.csv", "b,a", "3,x")
+    with pytest.raises(Exception):
+        readers.read_wide(spark, str(tmp_path / "t")).collect()

@@ -32,8 +32,8 @@ TRANSIT_UNUSED = ("Legacy.NTD.ID", "Status", "Reporter.Type", "UACE.CD", "UZA.Na
 
 
 def read_wide(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV as text columns under its own header names."""
-    return spark.read.csv(path, header=True)
+    """A CSV as text columns under its own header names; a doubled quote in a quoted field is one quote."""
+    return spark.read.csv(path, header=True, escape='"', enforceSchema=False)
 
 
 def read_titles(spark: SparkSession, path: str) -> DataFrame:

@@ -8,12 +8,14 @@ from trendloom.schema import TREND_SCHEMA, conform
 
 
 def write_trends(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write a trend table partitioned by metric.
+    """Write a trend table partitioned by metric; only the metrics of ``df`` are overwritten.
 
     The rebalance hint gathers each metric's rows into few files and lets AQE split a
     metric too large for one task.
     """
-    conform(df).hint("rebalance", "metric").write.mode(mode).partitionBy("metric").parquet(path)
+    conform(df).hint("rebalance", "metric").write.mode(mode).option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("metric").parquet(path)
 
 
 def read_trends(spark: SparkSession, path: str) -> DataFrame:
