@@ -164,7 +164,7 @@ def test_pieces_are_drawn_by_their_probabilities():
 
     segment(" " + text, (), 1.0)
     total = sum(weight.values())
-    lattices, found = pieces.sample(vocabulary, [text] * n, np.arange(n) * 7 + 1, 2)
+    lattices, found = pieces.sample(pieces.Pool(vocabulary), [text] * n, np.arange(n) * 7 + 1, 2)
     first = collections.Counter(tuple(lattices.token[own[0].edges].tolist()) for own, _ in found)
     pairs = collections.Counter(tuple(tuple(lattices.token[p.edges].tolist()) for p in own) for own, _ in found)
     for own, _ in found[:50]:
@@ -177,6 +177,27 @@ def test_pieces_are_drawn_by_their_probabilities():
     assert seen / n == pytest.approx(pa * pb / (1 - pa), abs=0.03)
 
 
+def test_lattices_kept_from_earlier_batches_change_nothing(monkeypatch):
+    vocabulary = pieces.Vocabulary()
+    batches = [["one two three", "two  two", ""], ["three four \u2603", "one"], [""], ["four five one", "x" * 50]]
+    seeds = np.arange(3) + 5
+
+    def drawn(pools):
+        out = []
+        for texts, pool in zip(batches, pools):
+            lattices, found = pieces.sample(pool, texts, seeds[: len(texts)], 3)
+            out.append([[(lattices.token[p.edges].tolist(), p.value) for p in paths] for paths, _ in found])
+        return out
+
+    alone = drawn([pieces.Pool(vocabulary) for _ in batches])
+    kept = drawn([pieces.Pool(vocabulary)] * len(batches))
+    monkeypatch.setattr(pieces, "KEPT_EDGES", 1)
+    assert [[[t for t, _ in p] for p in b] for b in kept] == [[[t for t, _ in p] for p in b] for b in alone]
+    values = lambda found: [v for b in found for p in b for _, v in p]
+    assert np.allclose(values(kept), values(alone))
+    assert drawn([pieces.Pool(vocabulary)] * len(batches)) == alone
+
+
 def test_shards(spark, awkward, empty):
     written = sharding.write_shards(awkward, stage_path(spark), shards=4, bucket_bytes=2000)
     rows = sharding.with_slots(written).collect()

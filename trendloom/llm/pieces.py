@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from trendloom.llm.tables import whole_row
@@ -27,7 +28,9 @@ SEED = 20240611
 SAMPLES = 2
 ALPHA = 1.0
 #: Characters of text that are walked together; a longer text goes alone.
-BATCH_CHARS = 1 << 20
+BATCH_CHARS = 1 << 18
+#: Edges up to which the lattices of units are kept for the batches that follow; beyond, they are built anew.
+KEPT_EDGES = 1 << 20
 #: -log(-log(u)) of the largest uniform draw, rounded up.
 MOST_NOISE = 37.0
 
@@ -158,6 +161,15 @@ class Lattices:
         self.top[self.first[1:] - 1] = 2.0
         self.to[self.to == n] = -1
 
+    def extend(self, other: Lattices) -> None:
+        """Take in the lattices of further units, numbered after the own ones."""
+        nodes, edges = len(self.first) - 1, len(self.token)
+        self.start = np.concatenate([self.start, other.start + nodes])
+        self.to = np.concatenate([self.to, np.where(other.to < 0, -1, other.to + nodes)])
+        self.first = np.concatenate([self.first[:-1], other.first + edges])
+        for name in ("token", "logp", "top"):
+            setattr(self, name, np.concatenate([getattr(self, name), getattr(other, name)]))
+
     def choose(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
         """The edge of each node at a uniform draw."""
         edge = self.first[node]
@@ -183,6 +195,27 @@ class Lattices:
         return out, size
 
 
+class Pool:
+    """The lattices of the units met so far, each built once as long as all of them stay within ``KEPT_EDGES``."""
+
+    def __init__(self, vocabulary: Vocabulary) -> None:
+        self.vocabulary, self.known, self.lattices = vocabulary, {}, None
+
+    def find(self, words: list[str]) -> tuple[Lattices, np.ndarray]:
+        """Lattices that hold the given units, and the first node of each."""
+        distinct = dict.fromkeys(words)
+        new = [w for w in distinct if w not in self.known]
+        if self.lattices is None or (new and len(self.lattices.token) > KEPT_EDGES):
+            self.known, self.lattices, new = {}, None, list(distinct)
+            self.lattices = Lattices(self.vocabulary, new or [""])
+            self.known.update(zip(new, self.lattices.start.tolist()))
+        elif new:
+            added = Lattices(self.vocabulary, new)
+            self.known.update(zip(new, (added.start + len(self.lattices.first) - 1).tolist()))
+            self.lattices.extend(added)
+        return self.lattices, np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+
+
 def _key(key: np.ndarray, number: np.ndarray) -> np.ndarray:
     return mix(key.view(U) ^ (number.astype(U) * U(0x9E3779B97F4A7C15)) + U(1))
 
@@ -234,14 +267,12 @@ def _turns(lattices: Lattices, path: Path, begin: int, barred: tuple, seed: int,
     return [(-values[i], number, begin + int(i), (*(barred if i == 0 else ()), int(path.edges[begin + i]))) for i in best if np.isfinite(values[i])]
 
 
-def sample(vocabulary: Vocabulary, texts: list[str], seeds: np.ndarray, k: int) -> tuple[Lattices, list[tuple[list[Path], float]]]:
+def sample(pool: Pool, texts: list[str], seeds: np.ndarray, k: int) -> tuple[Lattices, list[tuple[list[Path], float]]]:
     """For every text up to ``k`` distinct segmentations, best first, and the value of the next one (-inf: there is none)."""
     words = [t.split(" ") if t else [] for t in texts]
     sizes = np.array([len(w) for w in words], np.int64)
     every = [w for ws in words for w in ws]
-    number = {w: i for i, w in enumerate(dict.fromkeys(every))}
-    lattices = Lattices(vocabulary, list(number) or [""])
-    starts = lattices.start[np.fromiter(map(number.__getitem__, every), np.int64, len(every))]
+    lattices, starts = pool.find(every)
     first = np.concatenate([[0], np.cumsum(sizes)])
     text_of = np.repeat(np.arange(len(texts)), sizes)
     place = np.arange(len(text_of)) - first[text_of]
@@ -332,15 +363,16 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: i
     item = pa.struct([("rank", pa.int32()), ("tokens", pa.list_(pa.int32())), ("log_prob", pa.float64()), ("perturbed", pa.float64()), ("inclusion", pa.float64())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pool = Pool(vocabulary)
         for batch in batches:
-            sizes = np.cumsum([len(x) for x in batch.column("text").to_pylist()]) if batch.num_rows else np.zeros(0)
+            sizes = np.cumsum(pc.utf8_length(batch.column("text")).to_numpy()).astype(np.int64)
             begin = 0
             while begin < batch.num_rows:
                 done = sizes[begin - 1] if begin else 0
                 end = max(begin + 1, int(np.searchsorted(sizes, done + BATCH_CHARS)))
                 part = batch.slice(begin, end - begin)
                 begin = end
-                lattices, found = sample(vocabulary, part.column("text").to_pylist(), part.column("seed").to_numpy(), k)
+                lattices, found = sample(pool, part.column("text").to_pylist(), part.column("seed").to_numpy(), k)
                 paths = [p for own, _ in found for p in own]
                 tokens = lattices.token[np.concatenate([p.edges for p in paths])]
                 lengths = np.concatenate([[0], np.cumsum([len(p.edges) for p in paths])]).astype(np.int32)
