@@ -29,7 +29,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sample_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per copy of a document, with its sampled token sequences."""
-    return pieces.encode(docs).select(F.col("row.doc_id").alias("doc_id"), F.col("row.source").alias("source"), "samples")
+    return pieces.encode(docs, keep=["doc_id", "source"]).select("row.doc_id", "row.source", "samples")
 
 
 STAGES = [

@@ -144,6 +144,12 @@ def test_pieces_round_trip_and_are_distinct(spark, awkward, empty):
         assert len({tuple(r.s.tokens) for r in own}) == len(own) <= 3
         assert [r.s.perturbed for r in own] == sorted((r.s.perturbed for r in own), reverse=True)
     assert pieces.encode(empty).count() == 0
+    kept = pieces.encode(awkward, k=3, keep=["doc_id"])
+    assert kept.schema["row"].dataType.names == ["doc_id"]
+    same = pieces.encode(awkward, k=3).select("row.doc_id", "samples").collect()
+    assert sorted(map(str, kept.select("row.doc_id", "samples").collect())) == sorted(map(str, same))
+    flat = kept.select("row.doc_id", F.explode("samples").alias("s")).select("doc_id", "s.tokens")
+    assert pieces.decode(flat, F.col("tokens"), keep=["doc_id"]).columns == ["doc_id", "decoded"]
 
 
 def test_pieces_are_drawn_by_their_probabilities():

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -349,8 +349,8 @@ SAMPLE_TYPE = T.ArrayType(T.StructType([
 ]))
 
 
-def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SAMPLES, model: str = MODEL, alpha: float = ALPHA, seed: int = SEED) -> DataFrame:
-    """``row`` (all columns) and ``samples``: up to ``k`` distinct segmentations of the whole text, from the most perturbed down.
+def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SAMPLES, model: str = MODEL, alpha: float = ALPHA, seed: int = SEED, keep: Sequence[str] | None = None) -> DataFrame:
+    """``row`` (all columns, or those of ``keep``) and ``samples``: up to ``k`` distinct segmentations of the whole text, from the most perturbed down.
 
     Each has rank from 1, tokens, log_prob, perturbed and inclusion. Draws depend on the id, the seed and the text alone, so rows with the same
     id and text agree, and reruns do. NULL counts as empty; an empty text has one empty segmentation. Characters without a piece
@@ -358,7 +358,8 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: i
     """
     vocabulary = Vocabulary(model, alpha)
     ident = F.xxhash64(F.col(f"`{id_col}`").cast("string"), F.lit(seed))
-    rows = docs.select(whole_row(docs).alias("row"), ident.alias("seed"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
+    row = whole_row(docs) if keep is None else F.struct(*[F.col(f"`{c}`") for c in keep])
+    rows = docs.select(row.alias("row"), ident.alias("seed"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
     schema = T.StructType([rows.schema["row"], T.StructField("samples", SAMPLE_TYPE)])
     item = pa.struct([("rank", pa.int32()), ("tokens", pa.list_(pa.int32())), ("log_prob", pa.float64()), ("perturbed", pa.float64()), ("inclusion", pa.float64())])
 
@@ -392,10 +393,11 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: i
     return rows.mapInArrow(read, schema)
 
 
-def decode(rows: DataFrame, tokens: Column, model: str = MODEL) -> DataFrame:
-    """The rows with ``decoded``: the text that the tokens stand for. NULL tokens give NULL, none give an empty text."""
+def decode(rows: DataFrame, tokens: Column, model: str = MODEL, keep: Sequence[str] | None = None) -> DataFrame:
+    """The rows (all columns, or those of ``keep``) with ``decoded``: the text that the tokens stand for. NULL tokens give NULL, none give an empty text."""
     vocabulary = Vocabulary(model)
-    given = rows.select(whole_row(rows).alias("row"), tokens.alias("tokens"))
+    row = whole_row(rows) if keep is None else F.struct(*[F.col(f"`{c}`") for c in keep])
+    given = rows.select(row.alias("row"), tokens.alias("tokens"))
     schema = T.StructType([given.schema["row"], T.StructField("decoded", T.StringType())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

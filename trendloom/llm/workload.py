@@ -42,18 +42,21 @@ def op3_language(spark: SparkSession, sf: str) -> DataFrame:
 
 def op4_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
-    sampled = pieces.encode(docs).select("row.doc_id", "row.text_hash", F.explode("samples").alias("s"))
-    decoded = pieces.decode(sampled, F.col("s.tokens"))
-    return decoded.select(
+    # Only the tokens go through decoding, and no text comes back from sampling.
+    sampled = pieces.encode(docs, keep=["doc_id", "text_hash"]).select("row.doc_id", "row.text_hash", F.explode("samples").alias("s"))
+    flat = sampled.select(
         "doc_id",
+        "text_hash",
         F.col("s.rank").alias("rank"),
         F.size("s.tokens").cast("long").alias("n_tokens"),
         F.xxhash64("s.tokens").alias("tokens_hash"),
         F.col("s.log_prob").alias("log_prob"),
         F.col("s.perturbed").alias("perturbed"),
         F.col("s.inclusion").alias("inclusion"),
-        (F.xxhash64("decoded") == F.col("text_hash")).alias("round_trip"),
+        F.col("s.tokens").alias("tokens"),
     )
+    decoded = pieces.decode(flat, F.col("tokens"), keep=[c for c in flat.columns if c != "tokens"])
+    return decoded.withColumn("round_trip", F.xxhash64("decoded") == F.col("text_hash")).drop("decoded", "text_hash")
 
 
 def op5_sharding(spark: SparkSession, sf: str) -> DataFrame:
