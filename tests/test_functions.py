@@ -42,7 +42,7 @@ def test_division_and_casts_give_null(spark):
         bad=nulls.to_number(F.lit("n/a")),
         good=nulls.to_number(F.lit(" 12.5")),
     )
-    assert got == {"zero": None, "half": 0.5, "bad": None, "good": 12.5}
+    assert got == {"zero": None, "half": 0.5, "bad": None, "two_digits": None, "good": 12.5}
 
 
 def test_null_is_outside_every_list(spark):
@@ -86,13 +86,14 @@ def test_dates(spark):
         short=dates.parse_mdy(F.lit("4/1/2020")),
         my=dates.parse_my(F.lit("4/2020")),
         bad=dates.parse_mdy(F.lit("April")),
+        two_digits=dates.parse_mdy(F.lit("1/1/20")),
         serial=dates.excel_date(F.lit("43466")),
         text=dates.excel_date(F.lit("total")),
         stamp=dates.stamp(F.lit("2021"), 12),
     )
     april = dt.date(2020, 4, 1)
     assert got == {
-        "ymd": april, "mdy": april, "short": april, "my": april, "bad": None,
+        "ymd": april, "mdy": april, "short": april, "my": april, "bad": None, "two_digits": None,
         "serial": dt.date(2019, 1, 1), "text": None, "stamp": dt.date(2021, 12, 1),
     }
 

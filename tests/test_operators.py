@@ -43,6 +43,8 @@ def test_grouped_levels_tells_null_key_from_rolled_up(spark, rows):
         ([(0.0, 3.0), (0.0, 4.0)], 4.0, 4.0),
         ([(0.0, 3.0), (0.0, 4.0), (7.0, 12.0)], 13.0, (144 + 16) ** 0.5),
         ([(1.0, None), (2.0, 4.0)], None, None),
+        ([(None, 3.0), (2.0, 4.0)], None, None),
+        ([(None, 5.0), (0.0, 2.0)], None, None),
     ],
 )
 def test_moe_sum_modes(spark, cells, total, per_row):
@@ -141,6 +143,14 @@ def test_spread_then_melt_is_identity(spark, rows):
     assert rows(reshape.melt(wide, ["id"], drop_null=True)) == rows(long)
 
 
+def test_spread_sums_several_rows_of_a_cell(spark, rows):
+    long = spark.createDataFrame(
+        [("a", "x", 10.0), ("a", "x", 30.0), ("a", "y", 5.0), ("b", "x", 1.0), ("b", "x", None)],
+        "id string, variable string, estimate double",
+    )
+    assert rows(reshape.spread(long, ["id"], "variable", ["x", "y"])) == [("a", 40.0, 5.0), ("b", None, None)]
+
+
 def test_drop_containing_ignores_case(spark):
     df = spark.createDataFrame([(1, 2, 3)], "`Place.Code.x` int, `a.b` int, placecode int")
     assert reshape.drop_containing(df, "place.code").columns == ["a.b", "placecode"]

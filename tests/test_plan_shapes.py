@@ -117,8 +117,9 @@ def shuffled_joins(spark):
         spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def test_hot_parcel_is_split(spark, shuffled_joins, tmp_path):
-    """A third of all facts belong to one parcel."""
+def test_hot_parcel_reaches_the_join_summed(spark, shuffled_joins, tmp_path):
+    """A third of all facts belong to one parcel; without splitting, it joins as one row a year."""
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
     facts = spark.range(0, 60_000, 1, 8).selectExpr(
         "if(id % 3 = 0, 0, id % 997) AS parcel_dim_id", "cast(2010 + id % 15 AS int) AS estimate_year",
         "cast(id % 7 AS double) AS total_pop", "cast(rand(1) AS double) + 1 AS housing_units", "cast(id % 4 AS int) AS ofm_vintage",
@@ -130,7 +131,10 @@ def test_hot_parcel_is_split(spark, shuffled_joins, tmp_path):
     facts, parcels = spark.read.parquet(str(tmp_path / "f")), spark.read.parquet(str(tmp_path / "p"))
     got = near_transit.near_transit_population(facts, parcels)
     plan = final_plan(got)
-    assert "skewed" in plan or "skew=true" in plan
+    spark.conf.unset("spark.sql.adaptive.skewJoin.enabled")
+    assert "skewed" not in plan and "skew=true" not in plan
+    join = plan.index("SortMergeJoin")
+    assert re.search(r"HashAggregate\(keys=\[parcel_dim_id", plan[join:])
     levels = got.filter("grouping = 'Annual' AND metric = 'Population near HCT' AND year < '2020'")
     want = facts.filter("estimate_year < 2020").agg(F.sum("total_pop")).first()[0]
     assert levels.agg(F.sum("estimate")).first()[0] == want

@@ -1,4 +1,4 @@
-"""Date parsing and period stamps. Text that is no date becomes NULL."""
+"""Date parsing and period stamps. Text that is no date, or whose year has no four digits, becomes NULL."""
 
 from __future__ import annotations
 
@@ -10,16 +10,16 @@ from trendloom.functions.nulls import as_col
 
 
 def parse_ymd(c: Column | str) -> Column:
-    return F.try_to_date(as_col(c), "y-M-d")
+    return F.try_to_date(as_col(c), "yyyy-M-d")
 
 
 def parse_mdy(c: Column | str) -> Column:
-    return F.try_to_date(as_col(c), "M/d/y")
+    return F.try_to_date(as_col(c), "M/d/yyyy")
 
 
 def parse_my(c: Column | str) -> Column:
     """``M/yyyy`` to the first of that month."""
-    return F.try_to_date(as_col(c), "M/y")
+    return F.try_to_date(as_col(c), "M/yyyy")
 
 
 def excel_date(serial: Column | str) -> Column:

@@ -83,13 +83,14 @@ def moe_sum(
 
     The margin of a sum is the root of the summed squares, except that of several zero
     estimates only the largest margin counts. ``mode='total'`` asks whether the group's
-    total is zero, ``mode='per_row'`` asks each row. A NULL margin makes the result NULL.
+    total is zero, ``mode='per_row'`` asks each row. A NULL margin makes the
+    margin NULL, a NULL estimate both.
     """
     e, m = as_col(estimate), as_col(moe)
     if mode == "total":
         combined = F.when(F.sum(e) == 0, F.max(m)).otherwise(F.sqrt(F.sum(m * m)))
     elif mode == "per_row":
-        zero = F.coalesce(e == 0, F.lit(False))
+        zero = e == 0
         top = F.max(F.when(zero, m))
         combined = F.sqrt(
             F.coalesce(F.sum(F.when(~zero, m * m)), F.lit(0.0)) + F.coalesce(top * top, F.lit(0.0))
@@ -97,7 +98,8 @@ def moe_sum(
     else:
         raise ValueError(f"unknown mode {mode!r}")
     return df.groupBy(*keys).agg(
-        na_sum(e).alias(estimate), F.when(F.count(m) == F.count(F.lit(1)), combined).alias(moe)
+        na_sum(e).alias(estimate),
+        F.when((F.count(m) == F.count(F.lit(1))) & (F.count(e) == F.count(F.lit(1))), combined).alias(moe),
     )
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from trendloom.functions.nulls import as_col, to_number
+from trendloom.functions.nulls import as_col, na_sum_if, to_number
 
 
 def columns_containing(df: DataFrame, text: str) -> list[str]:
@@ -84,9 +84,10 @@ def spread(
 ) -> DataFrame:
     """Long to wide for a known list of names.
 
-    A conditional aggregate per name: one shuffle, where a pivot groups twice.
+    A conditional aggregate per name: one shuffle, where a pivot groups twice. Several rows of
+    one cell are summed, as the measures are counts; a NULL among them makes the cell NULL.
     """
     label = as_col(names_from)
     return df.groupBy(*ids).agg(
-        *[F.max(F.when(label == n, as_col(values_from))).alias(n) for n in names]
+        *[na_sum_if(label == n, values_from).alias(n) for n in names]
     )

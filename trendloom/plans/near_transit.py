@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from trendloom.operators.aggregate import latest_vintage, sum_whole
+from trendloom.operators.aggregate import latest_vintage, sum_by, sum_whole
 from trendloom.operators.joins import lookup_join
 from trendloom.operators.reshape import melt, spread
 from trendloom.operators.series import complement, level_and_change, share_of_total
@@ -28,8 +28,8 @@ def near_transit_population(facts: DataFrame, parcels: DataFrame, vintage_from:
 
     ``facts``: parcel_dim_id, estimate_year, total_pop, housing_units, ofm_vintage.
     ``parcels``: parcel_dim_id, hct_station_area_vision_2050. The vintage is picked before
-    the join, so superseded rows are not shuffled; a parcel that holds a large part of
-    the facts is split by AQE's skew join.
+    the join, and facts are summed by parcel and year, so a parcel that holds a large part
+    of them reaches the join as one row a year. Sums are cut to whole numbers at the end.
     """
     current = latest_vintage(facts, "estimate_year", "ofm_vintage", vintage_from).select(
         "parcel_dim_id", F.col("estimate_year").alias("year"), "total_pop", "housing_units"
@@ -37,8 +37,9 @@ def near_transit_population(facts: DataFrame, parcels: DataFrame, vintage_from:
     flags = parcels.select(
         "parcel_dim_id", F.col("hct_station_area_vision_2050").alias("variable")
     )
+    by_parcel = sum_by(current, ["parcel_dim_id", "year"], "total_pop", "housing_units")
     yearly = sum_whole(
-        lookup_join(current, flags, "parcel_dim_id"), ["year", "variable"], "total_pop", "housing_units"
+        lookup_join(by_parcel, flags, "parcel_dim_id"), ["year", "variable"], "total_pop", "housing_units"
     )
     return _regional_shares(
         level_and_change(
