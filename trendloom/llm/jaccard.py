@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from trendloom.llm.components import components
-from trendloom.llm.wordhash import Runs, U, Words, mix, slices
+from trendloom.llm.wordhash import Runs, U, Words, lean, mix, slices
 from trendloom.session import stage
 
 SHINGLE = 3
@@ -126,7 +126,7 @@ def _survey(rows: DataFrame, width: int) -> DataFrame:
                 held.append(found.tokens[_first_met(sets, met)[found.owner]])
             yield from _frequent(names, held)
 
-    return stage(rows.mapInArrow(read, ", ".join(f"{n} long" for n in names)))
+    return stage(rows.mapInArrow(lean(read), ", ".join(f"{n} long" for n in names)))
 
 
 def _prefixes(rows: DataFrame, frequent: np.ndarray, width: int, least: int) -> DataFrame:
@@ -167,7 +167,7 @@ def _prefixes(rows: DataFrame, frequent: np.ndarray, width: int, least: int) ->
                 named = mix(tokens[kept].view(U) + band_of[kept].astype(U) * U(0x9E3779B97F4A7C15)).view(np.int64)
                 yield _columns(["token", "set", "n", "place"], [named, sets[owner[kept]], sizes[kept], place[kept]])
 
-    return rows.mapInArrow(read, "token long, set long, n long, place long")
+    return rows.mapInArrow(lean(read), "token long, set long, n long, place long")
 
 
 def _block_rows(rows: DataFrame, width: int) -> DataFrame:
@@ -183,7 +183,7 @@ def _block_rows(rows: DataFrame, width: int) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(found.tokens[mine]))
                 yield _columns(["set", "block", "tokens"], [sets, np.full(batch.num_rows, b, np.int32), lists])
 
-    return rows.mapInArrow(read, "set long, block int, tokens array<long>")
+    return rows.mapInArrow(lean(read), "set long, block int, tokens array<long>")
 
 
 def _may_link(x: str, y: str, least: int) -> Column:

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from trendloom.llm.tables import whole_row
+from trendloom.llm.wordhash import lean
 
 UNKNOWN = "und"
 HIDDEN = 8
@@ -232,7 +233,7 @@ def predict(docs: DataFrame, network: Network, text_col: str = "text") -> DataFr
             score = np.where(best < 0, 0.0, np.minimum(score, 1.0))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names[best], pa.string()), pa.array(score)], names=schema.names)
 
-    return lettered.mapInArrow(label, schema)
+    return lettered.mapInArrow(lean(label), schema)
 
 
 def languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from trendloom.llm.tables import whole_row
-from trendloom.llm.wordhash import U, mix
+from trendloom.llm.wordhash import U, lean, mix
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -30,7 +30,7 @@ ALPHA = 1.0
 #: Characters of text that are walked together; a longer text goes alone.
 BATCH_CHARS = 1 << 18
 #: Edges up to which the lattices of units are kept for the batches that follow; beyond, they are built anew.
-KEPT_EDGES = 1 << 20
+KEPT_EDGES = 1 << 19
 #: -log(-log(u)) of the largest uniform draw, rounded up.
 MOST_NOISE = 37.0
 
@@ -390,7 +390,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: i
                 each = np.concatenate([[0], np.cumsum([len(own) for own, _ in found])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([part.column("row"), pa.ListArray.from_arrays(pa.array(each), values)], names=schema.names)
 
-    return rows.mapInArrow(read, schema)
+    return rows.mapInArrow(lean(read), schema)
 
 
 def decode(rows: DataFrame, tokens: Column, model: str = MODEL, keep: Sequence[str] | None = None) -> DataFrame:
@@ -419,4 +419,4 @@ def decode(rows: DataFrame, tokens: Column, model: str = MODEL, keep: Sequence[s
                 out.append(data[at].tobytes()[1:].decode("utf-8", "replace"))
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, pa.string())], names=schema.names)
 
-    return given.mapInArrow(read, schema).select("row.*", "decoded")
+    return given.mapInArrow(lean(read), schema).select("row.*", "decoded")
