@@ -259,6 +259,18 @@ def test_article_text(spark):
     assert found[4].text == ("word, and more. " * 5000).strip() and found[4].n_chars == len(found[4].text)
 
 
+def test_any_page_is_read(spark):
+    words = "Some words, and more of them. " * 9
+    marks = ["<![ endif]>", "<![foo[x]]>", "<![if !IE]>", "<![CDATA[x]]>", "<!x y>"]
+    pages = [(i, None, f"<body><article><p>{words}</p>{m}<p>{words}</p></article></body>") for i, m in enumerate(marks)]
+    for value in ('="[\'top\',\'top\']"', '="12.5"', "", '=""', '="1"'):
+        pages.append((len(pages), None, f"<body><article data-y{value}><p>{words}</p><p>{words}</p></article></body>"))
+    pages.append((len(pages), None, f"<body><article><p>{words}</p><svg><![CDATA[a > <b>]]></svg><p>{words}</p></article></body>"))
+    pages.append((len(pages), None, f"<body><article><p>{words}</p><p>{words}</p><![ endif"))
+    found = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert len(found) == len(pages) and set(found.values()) == {f"{words.strip()}\n{words.strip()}"}
+
+
 def test_page_model_on_pages_not_trained_on():
     doms = [html_extract.parse(x) for x in html_extract.labelled_pages(100, 77)]
     forest, weights = html_extract.Forest(doms), html_extract.trained()

@@ -46,10 +46,14 @@ SPLIT = re.compile(r"[^a-z]+")
 
 
 class Dom(HTMLParser):
-    """Elements in page order: parent, tag, class and id words; and the text pieces with their elements."""
+    """Elements in page order: parent, tag, class and id words; and the text pieces with their elements.
 
-    def __init__(self) -> None:
+    The labels of ``data-y`` are read on labelled pages only; elsewhere it is an attribute like any other.
+    """
+
+    def __init__(self, labelled: bool) -> None:
         super().__init__(convert_charrefs=True)
+        self.labelled = labelled
         self.parent, self.tag, self.names, self.label = [-1], ["#root"], [()], [0]
         self.pieces: list[tuple[int, str | None]] = []
         self.open = [0]
@@ -68,7 +72,7 @@ class Dom(HTMLParser):
         for key, value in attrs:
             if key in ("class", "id", "role") and value:
                 names += tuple(x for x in SPLIT.split(value.lower()) if x)
-            elif key == "data-y":
+            elif key == "data-y" and self.labelled:
                 label = int(value)
             elif key == "hidden":
                 names += ("hidden",)
@@ -102,12 +106,19 @@ class Dom(HTMLParser):
                 del self.open[i:]
                 return
 
+    def parse_html_declaration(self, i):
+        """Where the ``<!...`` at i, which is no comment, ends: at the next ``>`` or with the page, and CDATA of svg and math at ``]]>``."""
+        foreign = any(self.tag[x] in ("svg", "math") for x in self.open)
+        end = "]]>" if foreign and self.rawdata.startswith("<![CDATA[", i) else ">"
+        at = self.rawdata.find(end, i + 2)
+        return len(self.rawdata) if at < 0 else at + len(end)
+
     def handle_data(self, data):
         self.pieces.append((self.open[-1], data))
 
 
-def parse(html: str) -> Dom:
-    dom = Dom()
+def parse(html: str, labelled: bool = True) -> Dom:
+    dom = Dom(labelled)
     dom.feed(html)
     dom.close()
     return dom
@@ -220,7 +231,7 @@ def _silent(dom: Dom) -> list[bool]:
 
 def texts(htmls: list[str], weights: tuple[np.ndarray, np.ndarray]) -> list[str]:
     """Article text of every page: blocks joined by line feeds, white space within a block as one space."""
-    doms = [parse(x) for x in htmls]
+    doms = [parse(x, labelled=False) for x in htmls]
     forest = Forest(doms)
     article = forest.marginals(forest.unary(weights[0]), weights[1])[0] > 0.5
     out, start = [], 0
