@@ -271,6 +271,24 @@ def test_any_page_is_read(spark):
     assert len(found) == len(pages) and set(found.values()) == {f"{words.strip()}\n{words.strip()}"}
 
 
+@pytest.mark.parametrize("page, heading", [
+    ("<html><head><title>T</title><body><article>{}</article>", ""),
+    ("<head><meta charset=utf-8><title>T</title><script>x()</script><article>{}</article>", ""),
+    ("<head><title>T</title></head><body><form id=aspnetForm><article>{}</article></form></body>", ""),
+    ("<body><form><ul class=menu><li><a>Home</a></li></ul><div class=content><h1>A b c</h1>{}</div><div class=footer>x</div></form></body>", "A b c\n"),
+    ("<body><form>{}</form></body>", ""),
+    ("<head><title>T</title></head><body><article>{}<form class=newsletter><p>Sign up for mail, now.</p></form></article></body>", ""),
+])
+def test_articles_in_open_heads_and_wide_forms(page, heading):
+    words = ("Some words, and more of them. " * 9).strip()
+    assert html_extract.texts([page.format(f"<p>{words}</p>" * 3)], html_extract.trained()) == [heading + "\n".join([words] * 3)]
+
+
+def test_text_ends_an_open_head():
+    dom = html_extract.parse("<html><head> <title>T</title>\nSome words", labelled=False)
+    assert [dom.tag[node] for node, text in dom.pieces if text and "words" in text] == ["html"]
+
+
 def test_page_model_on_pages_not_trained_on():
     doms = [html_extract.parse(x) for x in html_extract.labelled_pages(100, 77)]
     forest, weights = html_extract.Forest(doms), html_extract.trained()

@@ -25,7 +25,7 @@ BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "head header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead title tr ul".split()
 )
-#: Elements whose text is never shown as running text, whatever the model says.
+#: Elements whose text is never shown as running text, whatever the model says; a form that holds most of a page's text is none of them.
 SILENT = frozenset("script style template head title noscript textarea select button input iframe object svg math canvas audio video form".split())
 #: An open element that a start tag ends, and the elements beyond which it is not looked for.
 ENDS = {
@@ -37,6 +37,8 @@ ENDS = {
     "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
+#: What may stand in a head; any other start tag, and text, ends an open head.
+HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 FENCE = frozenset("article aside body div section main td th table ul ol li form header footer nav blockquote figure html dd dt button".split())
 SIZE = 512
 PAGES = 400
@@ -61,7 +63,14 @@ class Dom(HTMLParser):
     def _end_block(self) -> None:
         self.pieces.append((0, None))
 
+    def _end_head(self) -> None:
+        if self.tag[self.open[-1]] == "head":
+            self._end_block()
+            self.open.pop()
+
     def handle_starttag(self, tag, attrs):
+        if tag not in HEAD:
+            self._end_head()
         if tag in BLOCKS:
             self._end_block()
             if tag != "p" and tag in ENDS:
@@ -114,6 +123,8 @@ class Dom(HTMLParser):
         return len(self.rawdata) if at < 0 else at + len(end)
 
     def handle_data(self, data):
+        if data.strip(" \t\n\f\r"):
+            self._end_head()
         self.pieces.append((self.open[-1], data))
 
 
@@ -222,16 +233,33 @@ def trained(count: int = PAGES, seed: int = SEED) -> tuple[np.ndarray, np.ndarra
     return weights[0], weights[1]
 
 
-def _silent(dom: Dom) -> list[bool]:
+def _open_wide_forms(dom: Dom) -> None:
+    """Forms with more than half of the shown text of a page stand around the page itself: from here on they are divs, for the model to decide."""
+    if "form" not in dom.tag:
+        return
+    hidden, held = _silent(dom, SILENT - {"form"}), [0] * len(dom.tag)
+    for node, text in dom.pieces:
+        if text is not None and not hidden[node]:
+            held[node] += len("".join(text.split()))
+    for i in range(len(held) - 1, 0, -1):
+        held[dom.parent[i]] += held[i]
+    for i, tag in enumerate(dom.tag):
+        if tag == "form" and 2 * held[i] > held[0]:
+            dom.tag[i] = "div"
+
+
+def _silent(dom: Dom, tags: frozenset = SILENT) -> list[bool]:
     out = [False] * len(dom.tag)
     for i in range(1, len(out)):
-        out[i] = out[dom.parent[i]] or dom.tag[i] in SILENT
+        out[i] = out[dom.parent[i]] or dom.tag[i] in tags
     return out
 
 
 def texts(htmls: list[str], weights: tuple[np.ndarray, np.ndarray]) -> list[str]:
     """Article text of every page: blocks joined by line feeds, white space within a block as one space."""
     doms = [parse(x, labelled=False) for x in htmls]
+    for dom in doms:
+        _open_wide_forms(dom)
     forest = Forest(doms)
     article = forest.marginals(forest.unary(weights[0]), weights[1])[0] > 0.5
     out, start = [], 0
