@@ -11,6 +11,7 @@ import struct
 
 import numpy as np
 import pytest
+import sentencepiece
 import zstandard
 from pyspark.sql import functions as F
 
@@ -183,6 +184,34 @@ def test_pieces_are_drawn_by_their_probabilities():
     assert seen / n == pytest.approx(pa * pb / (1 - pa), abs=0.03)
 
 
+@pytest.mark.parametrize("text", ["a    b", "  a  ", "   ", "f:\n        x", "a \u2581  b", "\u2603   \u2603"])
+def test_runs_of_spaces_have_all_segmentations(text):
+    vocabulary, mark = pieces.Vocabulary(), pieces.SPACE
+    model = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    plain = [i for i in range(model.vocab_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i) or model.is_byte(i))]
+    ids = {model.id_to_piece(i): i for i in plain}
+    weight = {}
+
+    def segment(rest, tokens, w):
+        if not rest:
+            weight[tokens] = w
+        elif rest[0] == mark or rest[0].replace(" ", mark) not in ids:
+            segment(rest[1:], (*tokens, *[model.piece_to_id(f"<0x{b:02X}>") for b in rest[0].encode()]), w)
+        else:
+            for end in range(1, len(rest) + 1):
+                if mark not in rest[:end] and (token := ids.get(rest[:end].replace(" ", mark))) is not None:
+                    segment(rest[end:], (*tokens, token), w / (1 - model.get_score(token)))
+
+    segment(" " + text, (), 1.0)
+    total = sum(weight.values())
+    lattices, [(found, left)] = pieces.sample(pieces.Pool(vocabulary), [text], np.array([5]), len(weight) + 1)
+    drawn = {tuple(lattices.token[p.edges].tolist()): math.exp(p.logp) for p in found}
+    certain = {t: w / total for t, w in weight.items() if w / total > 1e-9}
+    assert drawn.keys() <= weight.keys() and certain.keys() <= drawn.keys()
+    assert all(p == pytest.approx(weight[t] / total, rel=1e-6) for t, p in drawn.items())
+    assert mark in text or tuple(model.encode(text)) in drawn
+
+
 def test_lattices_kept_from_earlier_batches_change_nothing(monkeypatch):
     vocabulary = pieces.Vocabulary()
     batches = [["one two three", "two  two", ""], ["three four \u2603", "one"], [""], ["four five one", "x" * 50]]

@@ -1,6 +1,7 @@
 """Sampled SentencePiece segmentations without replacement, and decoding.
 
-The lattice of a text has a node at every character and an edge for every piece of the vocabulary. A piece of rank r
+The lattice of a text has a node at every character and an edge for every piece of the vocabulary. It falls into units, each a
+run of spaces and the word after it, as no piece of the model goes on from a word into a space. A piece of rank r
 weighs 1 / (1 + r) to the power ``alpha``; a segmentation's probability is the product of its weights over the sum of all.
 Gumbel top-k draws distinct segmentations: a set of segmentations is perturbed as one, with the logarithm of its mass as
 location, and the largest set is searched first. Opening a set walks down its lattice to the one segmentation that keeps the
@@ -12,6 +13,7 @@ from __future__ import annotations
 
 import heapq
 import math
+import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -24,6 +26,7 @@ from trendloom.llm.wordhash import U, lean, mix
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
+UNIT = re.compile(" +[^ ]*")
 SEED = 20240611
 SAMPLES = 2
 ALPHA = 1.0
@@ -46,6 +49,8 @@ class Vocabulary:
         steps: dict[tuple[int, int], int] = {}
         token, weight = [-1], [0.0]
         self.longest = 1
+        #: Whether a piece goes on from a word into a space: then a text is one unit.
+        self.crossing = False
         for i in range(model.vocab_size()):
             piece = model.id_to_piece(i)
             if model.is_byte(i):
@@ -54,8 +59,8 @@ class Vocabulary:
                 continue
             plain = not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i))
             self.surface.append(piece.replace(SPACE, " ").encode() if plain else b"")
-            # Runs of spaces stay out of the lattice, so that no piece crosses a space.
-            if plain and SPACE not in piece[1:]:
+            if plain:
+                self.crossing = self.crossing or SPACE in piece.lstrip(SPACE)
                 state = 0
                 for c in piece:
                     at = (state, ord(c))
@@ -71,6 +76,12 @@ class Vocabulary:
         self.keys, self.next = keys[order], np.array(list(steps.values()), np.int64)[order]
         self.token, self.weight = np.array(token, np.int32), np.array(weight)
 
+    def units(self, text: str) -> list[str]:
+        """The text, with the space that stands before it, cut where no piece goes across."""
+        if not text:
+            return []
+        return [" " + text] if self.crossing else UNIT.findall(" " + text)
+
     def step(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
         """The next state of each, or -1."""
         key = state * CODES + code
@@ -84,25 +95,25 @@ FIRST_BYTE = 0x110000
 
 
 class Lattices:
-    """The lattices of distinct units, each a space mark and a word, in flat arrays.
+    """The lattices of distinct units, each a run of spaces and a word, in flat arrays.
 
     The edges of a node stand together; ``top`` sums their conditional probabilities up.
     """
 
     def __init__(self, vocabulary: Vocabulary, words: list[str]) -> None:
-        codes = np.frombuffer("".join([SPACE + w for w in words]).encode("utf-32-le"), np.uint32).astype(np.int64)
-        sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        given = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
+        codes = np.where(given == ord(" "), ord(SPACE), given)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
         begin = np.cumsum(sizes) - sizes
-        heads = np.zeros(len(codes), bool)
-        heads[begin] = True
         distinct = np.flatnonzero(np.bincount(codes, minlength=1))
         alone = vocabulary.step(np.zeros(len(distinct), np.int64), distinct)
         has_piece = np.zeros(CODES, bool)
         has_piece[distinct] = (alone >= 0) & (vocabulary.token[alone] >= 0)
-        known = has_piece[codes] & (heads | (codes != ord(SPACE)))
+        # A space mark that stands in the text itself is not a space.
+        known = has_piece[codes] & (given != ord(SPACE))
         if not known.all():
             strange = np.flatnonzero(~known)
-            raw = [chr(c).encode() for c in codes[strange].tolist()]
+            raw = [chr(c).encode() for c in given[strange].tolist()]
             width = np.ones(len(codes), np.int64)
             width[strange] = [len(x) for x in raw]
             codes, known = np.repeat(codes, width), np.repeat(known, width)
@@ -207,7 +218,7 @@ class Pool:
         new = [w for w in distinct if w not in self.known]
         if self.lattices is None or (new and len(self.lattices.token) > KEPT_EDGES):
             self.known, self.lattices, new = {}, None, list(distinct)
-            self.lattices = Lattices(self.vocabulary, new or [""])
+            self.lattices = Lattices(self.vocabulary, new or [" "])
             self.known.update(zip(new, self.lattices.start.tolist()))
         elif new:
             added = Lattices(self.vocabulary, new)
@@ -269,7 +280,7 @@ def _turns(lattices: Lattices, path: Path, begin: int, barred: tuple, seed: int,
 
 def sample(pool: Pool, texts: list[str], seeds: np.ndarray, k: int) -> tuple[Lattices, list[tuple[list[Path], float]]]:
     """For every text up to ``k`` distinct segmentations, best first, and the value of the next one (-inf: there is none)."""
-    words = [t.split(" ") if t else [] for t in texts]
+    words = [pool.vocabulary.units(t) for t in texts]
     sizes = np.array([len(w) for w in words], np.int64)
     every = [w for ws in words for w in ws]
     lattices, starts = pool.find(every)
