@@ -12,7 +12,7 @@ from trendloom.plans import airport, census, population, transit
 from trendloom.schema import conform, union_trends
 from trendloom.session import shared_folder
 from trendloom.sources import readers, sink
-from trendloom.workload.views import FIRST_YEAR, LAST_YEAR, query, table, view
+from trendloom.workload.views import FIRST_YEAR, LAST_YEAR, query, table, view, years
 
 CENTS = "decimal(18,2)"
 
@@ -422,16 +422,16 @@ def melt_dropna(spark, sf):
     ) t GROUP BY p_brand, variable, year
 """)
 def melt_headers(spark, sf):
-    years = list(range(FIRST_YEAR, LAST_YEAR + 1))
+    listed = list(years(spark, sf, "lineitem"))
     wide = (
         table(spark, sf, "lineitem")
         .join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .withColumn("l_year", F.year("l_shipdate"))
         .groupBy("p_brand")
-        .pivot("l_year", years)
+        .pivot("l_year", listed)
         .agg(F.sum("l_quantity"))
     )
-    wide = wide.withColumnsRenamed({str(y): f"{y}.Total.Quantity" for y in years})
+    wide = wide.withColumnsRenamed({str(y): f"{y}.Total.Quantity" for y in listed})
     return reshape.melt_headers(
         wide,
         ["p_brand"],

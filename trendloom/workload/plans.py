@@ -279,12 +279,12 @@ def _acs_inputs(spark, sf):
 
 @registered(_acs(["commute-modes"]))
 def acs_indicator(spark, sf):
-    return census.acs_indicator(*_acs_inputs(spark, sf), _ACS_YEARS)
+    return census.acs_indicator(*_acs_inputs(spark, sf), views.years(spark, sf, "lineitem"))
 
 
 @registered(_acs(list(ACS_TOPICS)))
 def acs_trends(spark, sf):
-    return census.acs_trends(*_acs_inputs(spark, sf), _ACS_YEARS)
+    return census.acs_trends(*_acs_inputs(spark, sf), views.years(spark, sf, "lineitem"))
 
 
 # --- population and housing ---------------------------------------------------------
@@ -346,13 +346,13 @@ def _forecast(condition: str, metric: str, level: str, keep_first: bool = False)
     + trend(_forecast("group_id = 7 AND data_year > 1996", "Population", "Annual"))
 )
 def population_trends(spark, sf):
-    """Four vintages that overlap in 1997, 1999 and 2000."""
-    segment = population.population_segment
+    """Four vintages that overlap in 1997, 1999 and 2000; the first and the last reach as far as the data."""
+    segment, listed = population.population_segment, views.years(spark, sf, "orders")
     segments = [
-        segment(views.population_wide(spark, sf, "1990s", 1995, 1997), "1990s", boundary_year=1997),
+        segment(views.population_wide(spark, sf, "1990s", listed[0], 1997), "1990s", boundary_year=1997),
         segment(views.population_wide(spark, sf, "intercensal", 1997, 1999), "intercensal", boundary_year=1999),
         segment(views.population_wide(spark, sf, "intercensal", 1999, 2000), "intercensal", boundary_year=2000),
-        segment(views.population_wide(spark, sf, "latest", 2000, 2001), "latest"),
+        segment(views.population_wide(spark, sf, "latest", 2000, listed[-1]), "latest"),
     ]
     forecast = view(spark, sf, "forecast_facts").withColumnsRenamed(
         {"group_id": "pop_group_dim_id", "amount": "population"}

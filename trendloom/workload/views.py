@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
+#: The years that the SQL checks list; wide inputs hold these and all between them and the tables' own.
 FIRST_YEAR, LAST_YEAR = 1995, 2001
 YEARS = range(FIRST_YEAR, LAST_YEAR + 1)
-MONTHS = [dt.date(y, m, 1) for y in YEARS for m in range(1, 13)]
 
 VIEWS = {
     # Title transactions: one per line item.
@@ -252,6 +252,18 @@ def view(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return query(spark, folder, VIEWS[name])
 
 
+@functools.lru_cache(maxsize=256)
+def years(spark: SparkSession, folder: str, name: str) -> range:
+    """The years of ``lineitem`` or ``orders``, from the first to the last in the data and those of ``YEARS``; one row comes to the driver."""
+    year = F.year({"lineitem": "l_shipdate", "orders": "o_orderdate"}[name])
+    first, last = table(spark, folder, name).agg(F.min(year), F.max(year)).first()
+    return YEARS if first is None else range(min(first, FIRST_YEAR), max(last, LAST_YEAR) + 1)
+
+
+def months(spark: SparkSession, folder: str, name: str) -> list[dt.date]:
+    return [dt.date(y, m, 1) for y in years(spark, folder, name) for m in range(1, 13)]
+
+
 def query(spark: SparkSession, folder: str, text: str) -> DataFrame:
     return spark.sql(text, **{n: view(spark, folder, n) for n in tables_in(text)})
 
@@ -332,17 +344,19 @@ def transit_wide(spark: SparkSession, folder: str) -> DataFrame:
     )
     cells = [F.struct(F.lit(m).alias("metric"), F.col(c).alias("v")) for m, c in metrics.items()]
     long = service.select(*ids, "date", F.inline(F.array(*cells)))
-    wide = long.groupBy(*ids, "metric").pivot("date", MONTHS).agg(F.sum("v"))
-    return wide.withColumnsRenamed({str(m): f"{m.month}/{m.year}" for m in MONTHS})
+    listed = months(spark, folder, "lineitem")
+    wide = long.groupBy(*ids, "metric").pivot("date", listed).agg(F.sum("v"))
+    return wide.withColumnsRenamed({str(m): f"{m.month}/{m.year}" for m in listed})
 
 
 def jobs_wide(spark: SparkSession, folder: str) -> DataFrame:
     """Monthly jobs with one column per month, named by its day serial."""
     long = view(spark, folder, "jobs_by_industry")
-    wide = long.groupBy("area", F.col("industry").alias("NAICS INDUSTRY")).pivot("date", MONTHS).agg(F.sum("estimate"))
+    listed = months(spark, folder, "lineitem")
+    wide = long.groupBy("area", F.col("industry").alias("NAICS INDUSTRY")).pivot("date", listed).agg(F.sum("estimate"))
     epoch = dt.date(1899, 12, 30)
     return wide.withColumn("NAICS CELL", F.lit(None).cast("string")).withColumnsRenamed(
-        {str(m): str((m - epoch).days) for m in MONTHS}
+        {str(m): str((m - epoch).days) for m in listed}
     )
 
 
@@ -385,7 +399,7 @@ def housing_wide(spark: SparkSession, folder: str) -> DataFrame:
     ).otherwise(place)
     cells = [
         F.count_if((F.col("year") == y) & kind).alias(f"{y}.Postcensal.Estimate.of.{name}")
-        for y in YEARS
+        for y in years(spark, folder, "orders")
         for name, kind in kinds.items()
     ]
     return (
