@@ -399,6 +399,15 @@ def test_near_duplicates_of_awkward_rows(spark, awkward, empty):
     assert jaccard.near_duplicates(empty).count() == 0
 
 
+def test_near_copies_under_repeated_ids(spark):
+    rng = random.Random(3)
+    first, other, third = (_text(rng, 60) for _ in range(3))
+    rows = [(1, first), (2, first + " end"), (2, other), (3, other + " end"), (3, third), (4, None), (5, ""), (None, first), (6, third + " a"), (6, third + " b")]
+    left = jaccard.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string"), width=5, least=80).collect()
+    wanted = [rows[i] for i in (0, 2, 4, 5, 6, 7)]
+    assert sorted(map(str, map(tuple, left))) == sorted(map(str, wanted))
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.range(1, 200).selectExpr("id AS a", "id + 1 AS b").union(spark.createDataFrame([(500, 501)], "a long, b long"))
     found = dict(map(tuple, components.components(links).collect()))

@@ -310,7 +310,16 @@ def near_duplicates(
     )
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The row with the smallest id of every component, unchanged; rows without an id all stay."""
-    gone = near_duplicates(docs, id_col, **options).filter("component_id <> doc_id").select(F.col("doc_id").alias("__gone"))
-    return docs.join(gone, F.col(f"`{id_col}`").cast("long") == F.col("__gone"), "left_anti")
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The row with the smallest id of every component of texts, unchanged; rows without words or without an id all stay.
+
+    Texts are linked, not ids: of two texts under one id only the one that is a near copy of a kept row goes. Copies of a kept row, with its id
+    and its text, stay. Texts are told apart by 64-bit hashes.
+    """
+    ident, key = F.col(f"`{id_col}`").cast("long"), F.xxhash64(F.col(f"`{text_col}`").cast("string"))
+    rows = docs.filter(ident.isNotNull()).select(key.alias("key"), ident.alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    found = near_duplicates(rows, "key", "text", **options).filter("n_shingles > 0").select(F.col("doc_id").alias("of"), "component_id").distinct()
+    members = stage(rows.select("key", "id").distinct().join(found, F.col("key") == F.col("of")).select("key", "id", "component_id"))
+    kept = members.groupBy(F.col("component_id").alias("of")).agg(F.min(F.struct("id", "key")).alias("kept"))
+    gone = members.join(kept, F.col("component_id") == F.col("of")).filter(F.struct("id", "key") != F.col("kept")).select(F.col("id").alias("__gone"), F.col("key").alias("__text"))
+    return docs.join(gone, (ident == F.col("__gone")) & (key == F.col("__text")), "left_anti")
