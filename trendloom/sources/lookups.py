@@ -6,105 +6,170 @@ from pyspark.sql import DataFrame, SparkSession
 
 HOME_COUNTIES = ("King", "Kitsap", "Pierce", "Snohomish")
 
-# Census topics: table, then label with its first and last line number in the table.
+# Census variable code and label, by topic.
 ACS_TOPICS = {
     "commute-modes": (
-        "B08301",
-        [
-            ("Total", 1, 1),
-            ("Drove Alone", 3, 3),
-            ("Carpooled", 4, 4),
-            ("Transit", 10, 10),
-            ("Other", 16, 17),
-            ("Bike", 18, 18),
-            ("Walk", 19, 19),
-            ("Other", 20, 20),
-            ("Work from Home", 21, 21),
-        ],
+        ("B08301_001", "Total"),
+        ("B08301_003", "Drove Alone"),
+        ("B08301_004", "Carpooled"),
+        ("B08301_010", "Transit"),
+        ("B08301_016", "Other"),
+        ("B08301_017", "Other"),
+        ("B08301_018", "Bike"),
+        ("B08301_019", "Walk"),
+        ("B08301_020", "Other"),
+        ("B08301_021", "Work from Home"),
     ),
     "commute-times": (
-        "B08303",
-        [
-            ("Total", 1, 1),
-            ("Less than 15 minutes", 2, 3),
-            ("15 to 30 minutes", 4, 7),
-            ("30 to 45 minutes", 8, 10),
-            ("45 to 60 minutes", 11, 11),
-            ("more than 60 minutes", 12, 13),
-        ],
+        ("B08303_001", "Total"),
+        ("B08303_002", "Less than 15 minutes"),
+        ("B08303_003", "Less than 15 minutes"),
+        ("B08303_004", "15 to 30 minutes"),
+        ("B08303_005", "15 to 30 minutes"),
+        ("B08303_006", "15 to 30 minutes"),
+        ("B08303_007", "15 to 30 minutes"),
+        ("B08303_008", "30 to 45 minutes"),
+        ("B08303_009", "30 to 45 minutes"),
+        ("B08303_010", "30 to 45 minutes"),
+        ("B08303_011", "45 to 60 minutes"),
+        ("B08303_012", "more than 60 minutes"),
+        ("B08303_013", "more than 60 minutes"),
     ),
     "departure-time": (
-        "B08011",
-        [
-            ("Total", 1, 1),
-            ("Overnight", 2, 2),
-            ("Early Morning", 3, 6),
-            ("AM Peak", 7, 10),
-            ("Late Morning", 11, 13),
-            ("Afternoon", 14, 14),
-            ("Evening", 15, 15),
-        ],
+        ("B08011_001", "Total"),
+        ("B08011_002", "Overnight"),
+        ("B08011_003", "Early Morning"),
+        ("B08011_004", "Early Morning"),
+        ("B08011_005", "Early Morning"),
+        ("B08011_006", "Early Morning"),
+        ("B08011_007", "AM Peak"),
+        ("B08011_008", "AM Peak"),
+        ("B08011_009", "AM Peak"),
+        ("B08011_010", "AM Peak"),
+        ("B08011_011", "Late Morning"),
+        ("B08011_012", "Late Morning"),
+        ("B08011_013", "Late Morning"),
+        ("B08011_014", "Afternoon"),
+        ("B08011_015", "Evening"),
     ),
     "race-ethnicity": (
-        "B03002",
-        [
-            ("Total", 1, 1),
-            ("White", 3, 3),
-            ("Black", 4, 4),
-            ("American Indian and Alaska Native", 5, 5),
-            ("Asian", 6, 6),
-            ("Native Hawaiian and Other Pacific Islander", 7, 7),
-            ("Some Other Race", 8, 8),
-            ("Two or More Races", 9, 9),
-            ("Hispanic or Latinx", 12, 12),
-        ],
+        ("B03002_001", "Total"),
+        ("B03002_003", "White"),
+        ("B03002_004", "Black"),
+        ("B03002_005", "American Indian and Alaska Native"),
+        ("B03002_006", "Asian"),
+        ("B03002_007", "Native Hawaiian and Other Pacific Islander"),
+        ("B03002_008", "Some Other Race"),
+        ("B03002_009", "Two or More Races"),
+        ("B03002_012", "Hispanic or Latinx"),
+    ),
+    "housing-tenure": (
+        ("B25003_001", "Total"),
+        ("B25003_002", "Own"),
+        ("B25003_003", "Rent"),
     ),
-    "housing-tenure": ("B25003", [("Total", 1, 1), ("Own", 2, 2), ("Rent", 3, 3)]),
     "educational-attainment": (
-        "B15002",
-        [("Total", 1, 1)]
-        # men from line 3, women from line 20
-        + [
-            (label, base + first, base + last)
-            for base in (0, 17)
-            for label, first, last in (
-                ("No High School Diploma", 3, 10),
-                ("High School Diploma", 11, 11),
-                ("Some College", 12, 13),
-                ("Associates Degree", 14, 14),
-                ("Bachelors Degree", 15, 15),
-                ("Masters Degree", 16, 16),
-                ("Professional Degree", 17, 17),
-                ("Doctorate Degree", 18, 18),
-            )
-        ],
+        ("B15002_001", "Total"),
+        ("B15002_003", "No High School Diploma"),
+        ("B15002_004", "No High School Diploma"),
+        ("B15002_005", "No High School Diploma"),
+        ("B15002_006", "No High School Diploma"),
+        ("B15002_007", "No High School Diploma"),
+        ("B15002_008", "No High School Diploma"),
+        ("B15002_009", "No High School Diploma"),
+        ("B15002_010", "No High School Diploma"),
+        ("B15002_011", "High School Diploma"),
+        ("B15002_012", "Some College"),
+        ("B15002_013", "Some College"),
+        ("B15002_014", "Associates Degree"),
+        ("B15002_015", "Bachelors Degree"),
+        ("B15002_016", "Masters Degree"),
+        ("B15002_017", "Professional Degree"),
+        ("B15002_018", "Doctorate Degree"),
+        ("B15002_020", "No High School Diploma"),
+        ("B15002_021", "No High School Diploma"),
+        ("B15002_022", "No High School Diploma"),
+        ("B15002_023", "No High School Diploma"),
+        ("B15002_024", "No High School Diploma"),
+        ("B15002_025", "No High School Diploma"),
+        ("B15002_026", "No High School Diploma"),
+        ("B15002_027", "No High School Diploma"),
+        ("B15002_028", "High School Diploma"),
+        ("B15002_029", "Some College"),
+        ("B15002_030", "Some College"),
+        ("B15002_031", "Associates Degree"),
+        ("B15002_032", "Bachelors Degree"),
+        ("B15002_033", "Masters Degree"),
+        ("B15002_034", "Professional Degree"),
+        ("B15002_035", "Doctorate Degree"),
     ),
     "age": (
-        "B01001",
-        [("Total", 1, 1)]
-        # men from line 3, women from line 27
-        + [
-            (label, base + first, base + last)
-            for base in (0, 24)
-            for label, first, last in (
-                ("under 18", 3, 6),
-                ("18 to 64", 7, 19),
-                ("65 to 85", 20, 24),
-                ("over 85", 25, 25),
-            )
-        ],
+        ("B01001_001", "Total"),
+        ("B01001_003", "under 18"),
+        ("B01001_004", "under 18"),
+        ("B01001_005", "under 18"),
+        ("B01001_006", "under 18"),
+        ("B01001_007", "18 to 64"),
+        ("B01001_008", "18 to 64"),
+        ("B01001_009", "18 to 64"),
+        ("B01001_010", "18 to 64"),
+        ("B01001_011", "18 to 64"),
+        ("B01001_012", "18 to 64"),
+        ("B01001_013", "18 to 64"),
+        ("B01001_014", "18 to 64"),
+        ("B01001_015", "18 to 64"),
+        ("B01001_016", "18 to 64"),
+        ("B01001_017", "18 to 64"),
+        ("B01001_018", "18 to 64"),
+        ("B01001_019", "18 to 64"),
+        ("B01001_020", "65 to 85"),
+        ("B01001_021", "65 to 85"),
+        ("B01001_022", "65 to 85"),
+        ("B01001_023", "65 to 85"),
+        ("B01001_024", "65 to 85"),
+        ("B01001_025", "over 85"),
+        ("B01001_027", "under 18"),
+        ("B01001_028", "under 18"),
+        ("B01001_029", "under 18"),
+        ("B01001_030", "under 18"),
+        ("B01001_031", "18 to 64"),
+        ("B01001_032", "18 to 64"),
+        ("B01001_033", "18 to 64"),
+        ("B01001_034", "18 to 64"),
+        ("B01001_035", "18 to 64"),
+        ("B01001_036", "18 to 64"),
+        ("B01001_037", "18 to 64"),
+        ("B01001_038", "18 to 64"),
+        ("B01001_039", "18 to 64"),
+        ("B01001_040", "18 to 64"),
+        ("B01001_041", "18 to 64"),
+        ("B01001_042", "18 to 64"),
+        ("B01001_043", "18 to 64"),
+        ("B01001_044", "65 to 85"),
+        ("B01001_045", "65 to 85"),
+        ("B01001_046", "65 to 85"),
+        ("B01001_047", "65 to 85"),
+        ("B01001_048", "65 to 85"),
+        ("B01001_049", "over 85"),
     ),
     "income": (
-        "B19001",
-        [
-            ("Total", 1, 1),
-            ("under $50k", 2, 10),
-            ("$50k to $75k", 11, 12),
-            ("$75k to $100k", 13, 13),
-            ("$100k to $150k", 14, 15),
-            ("$150k to $200k", 16, 16),
-            ("more than $200k", 17, 17),
-        ],
+        ("B19001_001", "Total"),
+        ("B19001_002", "under $50k"),
+        ("B19001_003", "under $50k"),
+        ("B19001_004", "under $50k"),
+        ("B19001_005", "under $50k"),
+        ("B19001_006", "under $50k"),
+        ("B19001_007", "under $50k"),
+        ("B19001_008", "under $50k"),
+        ("B19001_009", "under $50k"),
+        ("B19001_010", "under $50k"),
+        ("B19001_011", "$50k to $75k"),
+        ("B19001_012", "$50k to $75k"),
+        ("B19001_013", "$75k to $100k"),
+        ("B19001_014", "$100k to $150k"),
+        ("B19001_015", "$100k to $150k"),
+        ("B19001_016", "$150k to $200k"),
+        ("B19001_017", "more than $200k"),
     ),
 }
 
@@ -210,10 +275,9 @@ HOUSING_METRICS = (
 def acs_lookup(spark: SparkSession, topics=None) -> DataFrame:
     """Census variable code to label, one row per code, for the named topics (all if none)."""
     rows = [
-        (topic, f"{table}_{line:03d}", label)
-        for topic, (table, labels) in ACS_TOPICS.items()
+        (topic, variable, label)
+        for topic, labels in ACS_TOPICS.items()
         if topics is None or topic in topics
-        for label, first, last in labels
-        for line in range(first, last + 1)
+        for variable, label in labels
     ]
     return spark.createDataFrame(rows, "topic string, variable string, simple_label string")

@@ -233,13 +233,7 @@ _ACS_YEARS = tuple(views.YEARS)
 
 
 def _acs(topics) -> str:
-    codes = [
-        (topic, f"{table}_{line:03d}", label)
-        for topic, (table, labels) in ACS_TOPICS.items()
-        if topic in topics
-        for label, first, last in labels
-        for line in range(first, last + 1)
-    ]
+    codes = [(topic, code, label) for topic, labels in ACS_TOPICS.items() if topic in topics for code, label in labels]
     years = ", ".join(map(str, _ACS_YEARS))
     return trend(f"""
         WITH codes(topic, code, label) AS ({_values(codes)}),
