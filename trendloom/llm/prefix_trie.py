@@ -28,7 +28,7 @@ ROOT = bytes(KEY)
 #: Nodes that a batch may hold, counted as expanded; a longer conversation is a batch of its own.
 BATCH_NODES = 1 << 18
 #: Parts into which the rows that ask for one parent are dealt out.
-PARTS = 64
+PARTS = 1 << 12
 #: Characters of a packed list of ids.
 CHUNK = 1 << 20
 
