@@ -121,12 +121,15 @@ def stamp_latest_month(df: DataFrame, months: DataFrame) -> DataFrame:
     """File yearly rows under the newest month of their year.
 
     ``months`` holds one row per calendar year, few enough to broadcast whatever the
-    size of their source; a shuffle by year would make one partition per year.
+    size of their source; a shuffle by year would make one partition per year. Years are compared
+    NULL-safe, which gives the same dates and puts no filter of its own below ``months``, so that
+    both sides can read one shuffle.
     """
+    by_year = months.withColumnRenamed("year", "__year")
     return (
-        df.join(F.broadcast(months), "year", "left")
+        df.join(F.broadcast(by_year), F.col("year").eqNullSafe(F.col("__year")), "left")
         .withColumn("date", stamp("year", "max_month"))
-        .drop("max_month")
+        .drop("__year", "max_month")
     )
 
 
