@@ -5,10 +5,10 @@ import pytest
 import __spark_entry__ as entry_point
 from tests.oracle import connect, differences
 from trendloom.schema import TREND_SCHEMA
-from trendloom.workload import operators, plans
+from trendloom.workload import files, operators, plans
 
 FOLDER = "/root/testdata/sf0.001"
-OWN = {**operators.QUERIES, **plans.QUERIES}
+OWN = {**operators.QUERIES, **plans.QUERIES, **files.QUERIES}
 CHECKS = {name: sql for name, sql in entry_point.oracle_sql().items() if name in OWN}
 
 

@@ -1,13 +1,16 @@
 """Readers and sink on files written here."""
 
+import datetime as dt
+import gzip
 from pathlib import Path
 
 import pytest
 
+from trendloom.operators import periods
 from trendloom.plans.population import population_segment
 from trendloom.schema import TREND_COLUMNS, conform
 from trendloom.session import clean_stages, shared_folder, stage
-from trendloom.sources import readers, sink
+from trendloom.sources import landed, readers, sink
 
 
 def write(path, *lines):
@@ -134,9 +137,73 @@ def test_sink_keeps_other_metrics(spark, tmp_path, rows):
     assert rows(sink.read_trends(spark, path), "metric") == [("a",), ("b",)]
 
 
-def test_doubled_quotes_and_headers_in_another_order(spark, tmp_path):
+def test_doubled_quotes_and_headers_in_another_order(spark, tmp_path, rows):
     one = write(tmp_path / "t" / "1.csv", "a,b", '"Metro ""King"", Ferry",2')
     assert readers.read_wide(spark, one).first()[0] == 'Metro "King", Ferry'
     write(tmp_path / "t" / "2.csv", "b,a", "3,x")
-    with pytest.raises(Exception):
-        readers.read_wide(spark, str(tmp_path / "t")).collect()
+    assert rows(readers.read_wide(spark, str(tmp_path / "t")), "a", "b") == [('Metro "King", Ferry', "2"), ("x", "3")]
+
+
+def test_header_below_a_preamble_that_differs_by_file(spark, tmp_path, rows):
+    write(tmp_path / "a b" / "x 1.csv", "\ufeffTitle, of it", "", ",,", "a,b,c", '1,"x ""q"" y",3', "", "4,5", "6,7,8,9", '"p,q",,')
+    write(tmp_path / "a b" / "x 2.csv", "c,a", "7,8")
+    (tmp_path / "a b" / "empty.csv").write_text("")
+    path = str(tmp_path / "a b")
+    assert rows(landed.read_landed(spark, path, ["a", "c"]), "a", "b", "c") == sorted(
+        [("1", 'x "q" y', "3"), ("4", "5", None), ("6", "7", "8"), ("p,q", None, None), ("8", None, "7")], key=lambda r: [(v is not None, v or "") for v in r]
+    )
+    with pytest.raises(ValueError, match="no header line"):
+        landed.read_landed(spark, path, ["a", "nowhere"])
+    found = landed.set_aside(spark, path, {"a": "A", "c": "C"}, ["C"], ["a", "c"])
+    assert rows(found.rows) == [("1", 3.0), ("8", 7.0), ("p,q", None)]
+    assert rows(found.malformed, "line", "reason") == [("4,5", "number of cells"), ("6,7,8,9", "number of cells")]
+    with pytest.raises(ValueError, match="lacks"):
+        landed.set_aside(spark, path, {"b": "B"}, header=["a", "c"])
+
+
+def test_blank_and_repeated_header_names(spark, tmp_path, rows):
+    path = write(tmp_path / "t.csv", "a,,A,b", "1,2,3,4")
+    got = landed.read_landed(spark, path)
+    assert got.columns == ["a", "_c1", "A_c2", "b"] and rows(got) == [("1", "2", "3", "4")]
+
+
+def test_compressed_file_below_a_title(spark, tmp_path, rows):
+    with gzip.open(tmp_path / "t.csv.gz", "wt") as f:
+        f.write("Title\na,b\n1,2\n")
+    assert rows(readers.read_wide(spark, str(tmp_path / "t.csv.gz"), 2)) == [("1", "2")]
+
+
+def test_malformed_lines_are_kept_in_quarantine(spark, tmp_path, rows):
+    header = ",".join(readers.TITLE_HEADERS)
+    path = write(tmp_path / "t.csv", header, "1/1/2020,New,Original Title,BEV,A,King,1,2", "1/1/2020,New", "1/1/2020,New,Original Title,BEV,A,King,1,many", "1/1/2020,New,Original Title,BEV,A,King,1,")
+    found = readers.titles_set_aside(spark, path)
+    assert rows(found.rows, "transactions") == [(None,), (2.0,)]
+    for _ in range(2):
+        landed.write_quarantine(found, str(tmp_path / "q"))
+    kept = spark.read.parquet(str(tmp_path / "q"))
+    assert rows(kept.groupBy("reason").count()) == [("no number: transactions", 2), ("number of cells", 2)]
+
+
+def test_malformed_json(spark, tmp_path, rows):
+    path = write(tmp_path / "t.json", '{"date": "2022-01-31", "county": "King", "total_vehicles": "7"}', '{"county": "Ki', "nothing")
+    found = readers.registrations_set_aside(spark, path)
+    assert rows(found.rows, "county", "total_vehicles") == [("King", "7")]
+    assert rows(found.malformed, "line") == [("nothing",), ('{"county": "Ki',)]
+
+
+def test_forty_sheets_are_one_scan(spark, tmp_path):
+    paths = {f"s{i}": write(tmp_path / f"{i}.csv", f"id,m{i % 3}", f"{i},x") for i in range(40)}
+    got = readers.read_sheets(spark, paths)
+    assert got.groupBy("sheet").count().count() == 40 and got.columns == ["id", "m0", "m1", "m2", "sheet"]
+    assert got._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+def test_missing_months_come_from_the_listing(spark, tmp_path, rows):
+    for key in ("012020", "032020"):
+        write(tmp_path / "m" / f"traf-ops-{key}.csv", "x")
+    months = periods.expected_months(spark, dt.date(2020, 1, 1), dt.date(2020, 4, 1))
+    got = landed.missing_month_files(spark, str(tmp_path / "m"), months, 10, 6)
+    assert rows(got, "month_key") == [("022020",), ("042020",)]
+    listed = landed.landed_files(spark, str(tmp_path / "m"))
+    assert "content" not in listed._jdf.queryExecution().executedPlan().toString()
+    assert rows(listed, "name", "length") == [("traf-ops-012020.csv", 2), ("traf-ops-032020.csv", 2)]

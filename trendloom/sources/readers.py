@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from trendloom.functions.nulls import as_col, to_number
 from trendloom.functions.text import pad_left
-from trendloom.schema import union_trends
+from trendloom.sources import landed
 
 # Landed header to column name.
 TITLE_HEADERS = {
@@ -31,9 +31,15 @@ TRANSIT_IDS = {"NTD.ID": "agency_id", "Agency": "agency", "Mode": "mode", "TOS":
 TRANSIT_UNUSED = ("Legacy.NTD.ID", "Status", "Reporter.Type", "UACE.CD", "UZA.Name", "3.Mode")
 
 
-def read_wide(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV as text columns under its own header names; a doubled quote in a quoted field is one quote."""
-    return spark.read.csv(path, header=True, escape='"', enforceSchema=False)
+def read_wide(spark: SparkSession, path: str, header: int | Sequence[str] = 1) -> DataFrame:
+    """A CSV as text columns under its own header names; a doubled quote in a quoted field is one quote.
+
+    ``header`` is the number of the header's line, or names of which that line holds all; then, or if the files of a
+    folder or glob have different headers, they are read by ``read_landed``, each by its own.
+    """
+    if header == 1 and len({layout.header for layout in landed.layouts(spark, path)}) <= 1:
+        return spark.read.csv(path, header=True, escape='"', enforceSchema=False)
+    return landed.read_landed(spark, path, header)
 
 
 def read_titles(spark: SparkSession, path: str) -> DataFrame:
@@ -43,11 +49,26 @@ def read_titles(spark: SparkSession, path: str) -> DataFrame:
     return named.withColumn("transactions", to_number("transactions"))
 
 
+def titles_set_aside(spark: SparkSession, path: str) -> landed.Landed:
+    """Vehicle title transactions like ``read_titles``, and the malformed lines, which are not among the rows."""
+    return landed.set_aside(spark, path, TITLE_HEADERS, ["transactions"])
+
+
 def read_registrations(spark: SparkSession, path: str) -> DataFrame:
     """Open-data registration records landed as JSON lines."""
     return spark.read.schema(REGISTRATION_SCHEMA).json(path)
 
 
+def registrations_set_aside(spark: SparkSession, path: str) -> landed.Landed:
+    """Registration records like ``read_registrations``, and the lines that are no such record, which are not among the rows."""
+    lines = spark.read.text(path).filter(F.trim("value") != "").select("value", F.col("_metadata.file_path").alias("file"))
+    parsed = F.from_json("value", f"{REGISTRATION_SCHEMA}, _bad string", {"columnNameOfCorruptRecord": "_bad"})
+    judged = lines.withColumn("record", parsed)
+    bad = F.col("record._bad").isNotNull()
+    malformed = judged.filter(bad).select("file", F.col("value").alias("line"), F.lit("no record").alias("reason"))
+    return landed.Landed(judged.filter(~bad).select("record.*").drop("_bad"), malformed)
+
+
 def read_lookup(spark: SparkSession, path: str, topic: str) -> DataFrame:
     """A census label list (variable, simple_label, label) as one topic."""
     return read_wide(spark, path).select(F.lit(topic).alias("topic"), "variable", "simple_label")
@@ -79,11 +100,12 @@ def read_acs(spark: SparkSession, path: str, tables: Iterable[str], years: Itera
     return landed.filter(F.col("acs_table").isin(*tables) & F.col("year").isin(*years))
 
 
-def read_sheets(spark: SparkSession, paths: Mapping[str, str], tag: str = "sheet") -> DataFrame:
-    """Sheets landed as one CSV each, tagged with the sheet name; columns may differ."""
-    return union_trends(
-        *[read_wide(spark, p).withColumn(tag, F.lit(name)) for name, p in paths.items()]
-    )
+def read_sheets(
+    spark: SparkSession, paths: Mapping[str, str], tag: str = "sheet", header: int | Sequence[str] = 1
+) -> DataFrame:
+    """Sheets landed as one CSV (or folder) each, tagged with the sheet name; columns may differ. One scan reads them all."""
+    tags = landed.file_tags(spark, paths)
+    return landed.read_landed(spark, list(paths.values()), header, tags, tag)
 
 
 def read_transit(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
@@ -105,14 +127,14 @@ def read_by_filename(
     key_start: int,
     key_length: int,
     prefix: str = "",
+    header: int | Sequence[str] = 1,
 ) -> DataFrame:
     """Many files in one read: columns picked by position, a key taken from the file name.
 
-    Positions and key start count from 1, as in the publishers' layouts.
+    Positions and key start count from 1, as in the publishers' layouts; a position counts in each file's own header.
     """
-    files = spark.read.csv(path, header=True)
-    columns = [as_col(files.columns[i - 1]).alias(n) for i, n in zip(positions, names)]
-    return files.select(*columns, file_key(key_start, key_length, prefix).alias("file_key"))
+    key = F.concat(F.lit(prefix), F.substring("name", key_start, key_length))
+    return landed.read_positions(spark, path, positions, names, key, header)
 
 
 def read_table(spark: SparkSession, name: str, jdbc: Mapping[str, str] | None = None) -> DataFrame:
