@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_point
 from trendloom.operators import aggregate, joins, periods, series
 from trendloom.plans import census, near_transit, transit, vehicles
+from trendloom.sources import buckets, readers
 from trendloom.workload import operators, plans
 from trendloom.workload.views import transit_wide, view
 
@@ -21,27 +22,32 @@ def final_plan(df) -> str:
     return re.sub(r"\+- == Initial Plan ==.*?(?=\n\S|\Z)", "", text, flags=re.S)
 
 
-def nodes(df) -> list[tuple[str, str]]:
-    """Name and one-line text of every node that ran, each shuffle's source once however often it is read."""
+def nodes(df, under: str = "") -> list[tuple[str, str]]:
+    """Name and one-line text of every node that ran, each shuffle's source once however often it is read.
+
+    With ``under`` only what feeds the node of which the text begins so, without subqueries.
+    """
     df.collect()
     found = []
 
-    def visit(node):
-        name = node.nodeName()
-        found.append((name, node.simpleString(10_000)))
+    def visit(node, inside: bool):
+        name, text = node.nodeName(), node.simpleString(10_000)
+        if inside:
+            found.append((name, text))
+        here = inside or text.startswith(under)
         if name.startswith("AdaptiveSparkPlan"):
-            visit(node.executedPlan())
+            visit(node.executedPlan(), here)
         elif name in ("ShuffleQueryStage", "BroadcastQueryStage", "TableCacheQueryStage", "ResultQueryStage"):
-            visit(node.plan())
+            visit(node.plan(), here)
         elif name != "ReusedExchange" and name != "ReusedSubquery":
             children = node.children()
             for i in range(children.size()):
-                visit(children.apply(i))
+                visit(children.apply(i), here)
         inner = node.subqueries()
-        for i in range(inner.size()):
-            visit(inner.apply(i))
+        for i in range(0 if under else inner.size()):
+            visit(inner.apply(i), here)
 
-    visit(df._jdf.queryExecution().executedPlan())
+    visit(df._jdf.queryExecution().executedPlan(), not under)
     return found
 
 
@@ -65,7 +71,8 @@ def test_no_python_and_no_product_join(spark, name):
         ("titles_by_tract", "lineitem", 1),
         ("vehicle_trends", "lineitem", 1),
         ("vehicle_trends", "orders", 1),
-        ("near_transit_population", "lineitem", 2),  # one of them reads the vintage only
+        ("near_transit_population", "lineitem", 1),
+        ("latest_vintage", "lineitem", 1),
         ("transit_trends", "lineitem", 1),
         ("registrations_by_fuel", "orders", 1),
         ("region_rollup", "orders", 1),
@@ -171,6 +178,40 @@ def test_hot_parcel_reaches_the_join_summed(spark, shuffled_joins, tmp_path):
     assert levels.agg(F.sum("estimate")).first()[0] == want
 
 
+def test_bucketed_parcels_join_where_they_lie(spark, shuffled_joins, rows):
+    """A third of all facts belong to one parcel, whose rows are copies; it lies in several buckets, and nothing is shuffled to the join."""
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    facts = spark.range(0, 30_000, 1, 8).selectExpr(
+        "if(id % 3 = 0, 0, if(id % 991 = 0, null, id % 997)) AS parcel_dim_id", "cast(2010 + id % 15 AS int) AS estimate_year",
+        "cast(id % 7 AS double) AS total_pop", "cast(1 AS double) AS housing_units", "cast(id % 4 AS int) AS ofm_vintage",
+    )
+    facts = facts.withColumns({c: F.when(F.col("parcel_dim_id") == 0, F.lit(v)).otherwise(F.col(c)) for c, v in (("total_pop", 2.0), ("ofm_vintage", 3))})
+    parcels = spark.range(0, 990, 1, 4).selectExpr(
+        "id AS parcel_dim_id", "if(id % 2 = 0, 'in station area', 'not in station area') AS hct_station_area_vision_2050")
+    buckets.write_pair(facts, parcels, "parcel_dim_id", ("shape_facts", "shape_parcels"), buckets=12)
+    lain = spark.table("shape_facts")
+    sizes = [r[0] for r in lain.filter("parcel_dim_id = 0").groupBy("salt").count().select("count").collect()]
+    assert lain.count() == 30_000 and len(sizes) >= 4 and max(sizes) < 30_000 / 11
+    got = near_transit.near_transit_population(lain, spark.table("shape_parcels"), bucketed=True)
+    below = nodes(got, under="SortMergeJoin [parcel_dim_id")
+    assert sum(name.startswith("Scan") for name, _ in below) == 2
+    assert not any("Exchange" in name for name, _ in below)
+    spark.conf.unset("spark.sql.adaptive.skewJoin.enabled")
+    assert rows(got, "year", "variable", "metric", "grouping", "estimate") == rows(
+        near_transit.near_transit_population(facts, parcels), "year", "variable", "metric", "grouping", "estimate")
+
+
+def test_lookup_prunes_the_folders(spark, tmp_path):
+    spark.range(800).selectExpr("concat('B', id % 40, '_001') AS variable", "id AS estimate", "concat('B', id % 40) AS acs_table", "2020 AS year").write.partitionBy(
+        "acs_table", "year").parquet(str(tmp_path / "acs"))
+    spark.range(40).selectExpr("concat('B', id, '_001') AS variable", "concat('t', id % 20) AS topic").write.parquet(str(tmp_path / "lookup"))
+    lookup = spark.read.parquet(str(tmp_path / "lookup"))
+    got = readers.read_acs_by_lookup(spark, str(tmp_path / "acs"), lookup.filter("topic = 't3'"))
+    assert got.count() == 40
+    assert any(name.startswith("Scan") and "dynamicpruning" in text for name, text in nodes(got))
+    assert got._jdf.queryExecution().executedPlan().toString().count("dynamicpruningexpression") >= 1
+
+
 def test_share_of_a_hot_group_gathers_no_rows(spark, shuffled_joins):
     df = spark.range(0, 90_000, 1, 8).selectExpr("if(id % 3 = 0, -1, id) AS k", "cast(1 AS double) AS estimate")
     got = series.share_of_total(df, ["k"])

@@ -135,6 +135,8 @@ def test_sink_keeps_other_metrics(spark, tmp_path, rows):
     for metric in ("a", "b", "a"):
         sink.write_trends(conform(spark.createDataFrame([("2020", metric, 1.0)], "year string, metric string, estimate double")), path)
     assert rows(sink.read_trends(spark, path), "metric") == [("a",), ("b",)]
+    sink.write_trends(conform(spark.createDataFrame([("2020", "c", 1.0)], "year string, metric string, estimate double")), path, whole=True)
+    assert rows(sink.read_trends(spark, path), "metric") == [("c",)]
 
 
 def test_doubled_quotes_and_headers_in_another_order(spark, tmp_path, rows):

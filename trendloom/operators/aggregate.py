@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -139,3 +141,21 @@ def latest_vintage(df: DataFrame, year: str, vintage: str, from_year: int) -> Da
     return df.filter(
         (as_col(year) < from_year) | ((as_col(year) >= from_year) & (as_col(vintage) == newest))
     )
+
+
+def latest_vintage_sums(
+    df: DataFrame, keys: Sequence[str], year: str, vintage: str, from_year: int, *values: str
+) -> DataFrame:
+    """``sum_by`` of ``keys`` and ``year`` over the rows that ``latest_vintage`` keeps, from one scan.
+
+    Recent rows are summed by vintage as well, and the newest is picked among the sums. The pick asks for a
+    sum's vintage, not for the key, so that it stays above the sums; finding the newest reads their shuffle again.
+    """
+    sums = df.groupBy(
+        *keys, as_col(year).alias(year), F.when(as_col(year) >= from_year, as_col(vintage)).alias("__vintage")
+    ).agg(*[na_sum(v).alias(v) for v in values], F.max(as_col(vintage)).alias("__newest"))
+    known = [F.count(as_col(v)).alias(f"__n{i}") for i, v in enumerate(values)]
+    found = sums.agg(F.max("__newest").alias("__newest"), *known)
+    newest = found.filter(reduce(and_, [F.col(f"__n{i}") >= 0 for i in range(len(values))])).select("__newest").scalar()
+    recent = as_col(year) >= from_year
+    return sums.filter((as_col(year) < from_year) | (recent & (F.col("__newest") == newest))).select(*keys, year, *values)

@@ -22,15 +22,19 @@ def keep_known(df: DataFrame, keys: DataFrame, left_on: str, right_on: str | Non
     return df.join(right, as_col(left_on) == F.col("__known"), "left_semi")
 
 
-def lookup_join(df: DataFrame, lookup: DataFrame, left_on: str, right_on: str | None = None) -> DataFrame:
-    """Left join on keys of different names; the lookup's key is not kept.
+def lookup_join(
+    df: DataFrame, lookup: DataFrame, left_on: str | Sequence[str], right_on: str | Sequence[str] | None = None
+) -> DataFrame:
+    """Left join on one or several keys, which may have other names in the lookup; the lookup's keys are not kept.
 
     A key listed several times in the lookup fans its rows out, which is what counting
     one operator in each of its areas needs.
     """
+    left = [left_on] if isinstance(left_on, str) else list(left_on)
     right_on = right_on or left_on
-    right = lookup.withColumnRenamed(right_on, "__lookup_key")
-    return df.join(right, as_col(left_on) == F.col("__lookup_key"), "left").drop("__lookup_key")
+    names = {k: f"__lookup_key{i}" for i, k in enumerate([right_on] if isinstance(right_on, str) else right_on)}
+    same = reduce(lambda a, b: a & b, [as_col(k) == F.col(n) for k, n in zip(left, names.values())])
+    return df.join(lookup.withColumnsRenamed(names), same, "left").drop(*names.values())
 
 
 def with_group_values(

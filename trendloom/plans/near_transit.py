@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from trendloom.operators.aggregate import latest_vintage, sum_by, sum_whole
+from trendloom.operators.aggregate import latest_vintage, latest_vintage_sums, sum_by, sum_whole
 from trendloom.operators.joins import lookup_join
 from trendloom.operators.reshape import melt, spread
 from trendloom.operators.series import complement, level_and_change, share_of_total
 from trendloom.schema import conform
+from trendloom.sources.buckets import SALT
 
 INSIDE, OUTSIDE = "in station area", "not in station area"
 
@@ -23,24 +24,29 @@ def _regional_shares(series: DataFrame) -> DataFrame:
     )
 
 
-def near_transit_population(facts: DataFrame, parcels: DataFrame, vintage_from: int = 2020) -> DataFrame:
+def near_transit_population(
+    facts: DataFrame, parcels: DataFrame, vintage_from: int = 2020, bucketed: bool = False
+) -> DataFrame:
     """Population and housing units by station-area flag, with changes and shares.
 
     ``facts``: parcel_dim_id, estimate_year, total_pop, housing_units, ofm_vintage.
-    ``parcels``: parcel_dim_id, hct_station_area_vision_2050. The vintage is picked before
-    the join, and facts are summed by parcel and year, so a parcel that holds a large part
-    of them reaches the join as one row a year. Sums are cut to whole numbers at the end.
+    ``parcels``: parcel_dim_id, hct_station_area_vision_2050. Facts are summed by parcel and year in one
+    scan and the vintage is picked before the join, so a parcel that holds a large part of them
+    reaches the join as one row a year. Sums are cut to whole numbers at the end.
+
+    ``bucketed``: both are tables of ``buckets.write_pair`` by parcel. They are summed and joined where they
+    lie, without a shuffle; the newest vintage then costs a scan of its column.
     """
-    current = latest_vintage(facts, "estimate_year", "ofm_vintage", vintage_from).select(
-        "parcel_dim_id", F.col("estimate_year").alias("year"), "total_pop", "housing_units"
-    )
-    flags = parcels.select(
-        "parcel_dim_id", F.col("hct_station_area_vision_2050").alias("variable")
-    )
-    by_parcel = sum_by(current, ["parcel_dim_id", "year"], "total_pop", "housing_units")
-    yearly = sum_whole(
-        lookup_join(by_parcel, flags, "parcel_dim_id"), ["year", "variable"], "total_pop", "housing_units"
-    )
+    measures = ["total_pop", "housing_units"]
+    dated = facts.withColumnRenamed("estimate_year", "year")
+    keys = ["parcel_dim_id", SALT] if bucketed else ["parcel_dim_id"]
+    if bucketed:
+        current = latest_vintage(dated, "year", "ofm_vintage", vintage_from)
+        by_parcel = sum_by(current, [*keys, "year"], *measures)
+    else:
+        by_parcel = latest_vintage_sums(dated, keys, "year", "ofm_vintage", vintage_from, *measures)
+    flags = parcels.select(*keys, F.col("hct_station_area_vision_2050").alias("variable"))
+    yearly = sum_whole(lookup_join(by_parcel, flags, keys), ["year", "variable"], *measures)
     return _regional_shares(
         level_and_change(
             yearly,

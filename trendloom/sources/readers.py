@@ -100,6 +100,16 @@ def read_acs(spark: SparkSession, path: str, tables: Iterable[str], years: Itera
     return landed.filter(F.col("acs_table").isin(*tables) & F.col("year").isin(*years))
 
 
+def read_acs_by_lookup(spark: SparkSession, path: str, lookup: DataFrame) -> DataFrame:
+    """Census estimates of the tables that ``lookup`` (variable, ...) names, landed by ``acs_table`` and ``year``.
+
+    The names are found while the query runs: if the lookup is small enough to broadcast, Spark prunes the
+    folders by it (dynamic partition pruning) before it opens a file; otherwise the rows are joined.
+    """
+    tables = lookup.select(F.substring_index("variable", "_", 1).alias("acs_table")).distinct()
+    return spark.read.parquet(path).join(tables, "acs_table", "left_semi")
+
+
 def read_sheets(
     spark: SparkSession, paths: Mapping[str, str], tag: str = "sheet", header: int | Sequence[str] = 1
 ) -> DataFrame:

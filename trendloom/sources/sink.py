@@ -7,14 +7,16 @@ from pyspark.sql import DataFrame, SparkSession
 from trendloom.schema import TREND_SCHEMA, conform
 
 
-def write_trends(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_trends(df: DataFrame, path: str, mode: str = "overwrite", whole: bool = False) -> None:
     """Write a trend table partitioned by metric; only the metrics of ``df`` are overwritten.
 
+    ``whole`` replaces the whole table, so that a metric which a run no longer yields does not stay behind.
+
     The rebalance hint gathers each metric's rows into few files and lets AQE split a
     metric too large for one task.
     """
     conform(df).hint("rebalance", "metric").write.mode(mode).option(
-        "partitionOverwriteMode", "dynamic"
+        "partitionOverwriteMode", "static" if whole else "dynamic"
     ).partitionBy("metric").parquet(path)
 
 

@@ -12,6 +12,7 @@ from trendloom.plans import airport, census, population, transit
 from trendloom.schema import conform, union_trends
 from trendloom.session import shared_folder
 from trendloom.sources import readers, sink
+from trendloom.sources.lookups import acs_lookup
 from trendloom.workload.views import FIRST_YEAR, LAST_YEAR, query, table, view, years
 
 CENTS = "decimal(18,2)"
@@ -353,12 +354,10 @@ def latest_month_stamp(spark, sf):
     WHERE year(l_shipdate) < 1998 OR l_linenumber = newest GROUP BY 1
 """)
 def latest_vintage(spark, sf):
-    rows = table(spark, sf, "lineitem").withColumn("year", F.year("l_shipdate").cast("bigint"))
-    return (
-        aggregate.latest_vintage(rows, "year", "l_linenumber", 1998)
-        .groupBy("year")
-        .agg(F.count("*").alias("n"), F.sum("l_quantity").alias("quantity"))
+    rows = table(spark, sf, "lineitem").select(
+        F.year("l_shipdate").cast("bigint").alias("year"), "l_linenumber", F.lit(1).cast("bigint").alias("n"), F.col("l_quantity").alias("quantity")
     )
+    return aggregate.latest_vintage_sums(rows, [], "year", "l_linenumber", 1998, "n", "quantity")
 
 
 @registered(f"""
@@ -897,6 +896,23 @@ def partitioned_acs(spark, sf):
     )
 
 
+@registered("""
+    SELECT variable, CAST(sum(estimate) AS DOUBLE) AS estimate, CAST(count(*) AS BIGINT) AS n FROM {acs_estimates}
+    WHERE substring(variable, 1, 6) IN ('B25003', 'B01001') GROUP BY variable
+""")
+def acs_by_lookup(spark, sf):
+    """The tables to read are those that the lookup's topics name, found while the query runs."""
+    path, labels = _scratch(spark, "acs-by-lookup"), _scratch(spark, "acs-labels")
+    cells = view(spark, sf, "acs_estimates").withColumn("acs_table", F.substring("variable", 1, 6))
+    cells.write.mode("overwrite").partitionBy("acs_table", "year").parquet(path)
+    acs_lookup(spark).write.mode("overwrite").parquet(labels)
+    lookup = spark.read.parquet(labels).filter(F.col("topic").isin("housing-tenure", "age"))
+    return (
+        readers.read_acs_by_lookup(spark, path, lookup)
+        .groupBy("variable").agg(F.sum("estimate").alias("estimate"), F.count("*").alias("n"))
+    )
+
+
 @registered("""
     SELECT sheet, code, estimate FROM (
         SELECT 'nation' AS sheet, n_name AS code, CAST(n_regionkey AS STRING) AS estimate FROM {nation}

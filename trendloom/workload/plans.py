@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from trendloom.plans import airport, census, jobs, near_transit, population, transit, vehicles
 from trendloom.schema import union_trends
 from trendloom.session import stage
+from trendloom.sources import buckets
 from trendloom.sources.lookups import ACS_TOPICS, ENGINE_LABELS, REGISTRATION_COUNTS, TRANSIT_MODES
 from trendloom.workload import views
 from trendloom.workload.operators import HIERARCHY_CHECK, HIERARCHY_COLUMNS
@@ -444,6 +445,14 @@ def near_transit_population(spark, sf):
     )
 
 
+@registered(trend(_NEAR_POPULATION, share="s"))
+def near_transit_population_bucketed(spark, sf):
+    """From tables laid out for the join, in which parcels of many facts are split."""
+    tables = ("near_transit_facts", "near_transit_parcels")
+    buckets.write_pair(view(spark, sf, "parcel_facts"), view(spark, sf, "parcel_dims"), "parcel_dim_id", tables, buckets=16)
+    return near_transit.near_transit_population(*[spark.table(t) for t in tables], vintage_from=1999, bucketed=True)
+
+
 @registered(_NEAR_JOBS)
 def near_transit_jobs(spark, sf):
     return near_transit.near_transit_jobs(view(spark, sf, "station_jobs"), start_year=1996)
