@@ -10,6 +10,7 @@ import re
 import struct
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 import zstandard
@@ -393,6 +394,43 @@ def test_near_duplicates(spark, width, least):
     assert left.count() == len({c for _, _, c in got})
 
 
+@pytest.mark.parametrize("width, least", [(1, 90), (1, 80), (3, 90), (1, 50)])
+def test_linked_sets_are_equal_in_a_block(width, least):
+    """Sets of every size, with as many n-grams exchanged, added or left out as the threshold allows."""
+    rng, linked = random.Random(width * least), 0
+    for size in [*range(1, 60), *range(60, 400, 13)]:
+        texts = []
+        base = [f"w{rng.random()}" for _ in range(size)]
+        for _ in range(12):
+            words = list(base)
+            for _ in range(rng.randrange(size * (100 - least) // 100 + 2)):
+                at = rng.randrange(len(words) + 1)
+                words[at : at + rng.randrange(2)] = [f"v{rng.random()}"] * rng.randrange(2)
+            texts.append(" ".join(words))
+        found = jaccard.Incidence(pa.array(texts, pa.large_string()), width)
+        sets = [set(found.tokens[found.owner == i].tolist()) for i in range(len(texts))]
+        tokens = [set() for _ in texts]
+        for docs, each in jaccard._equal_blocks(found, np.ones(len(texts), bool), least):
+            for d, t in zip(docs.tolist(), each.tolist()):
+                tokens[d].add(t)
+        for i, j in itertools.combinations(range(len(texts)), 2):
+            if sets[i] != sets[j] and 100 * len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j]):
+                linked += 1
+                assert tokens[i] & tokens[j]
+    assert linked > 100
+
+
+def test_blocks_that_two_sets_share_across_batches():
+    rng = random.Random(2)
+    rows = sorted((rng.randrange(60), rng.randrange(40)) for _ in range(100))
+    want = sorted({r for r in rows if len({s for t, s in rows if t == r[0]}) > 1})
+    for _ in range(30):
+        cuts = sorted(rng.randrange(len(rows) + 1) for _ in range(20))
+        batches = [rows[a:b] for a, b in zip([0, *cuts], [*cuts, len(rows)])]
+        got = jaccard.shared(jaccard._columns(["token", "set"], [pa.array([r[i] for r in b], pa.int64()) for i in (0, 1)]) for b in batches)
+        assert [r for b in got for r in zip(b.column("token").to_pylist(), b.column("set").to_pylist())] == want
+
+
 def test_near_duplicates_of_awkward_rows(spark, awkward, empty):
     found = jaccard.near_duplicates(awkward).collect()
     assert len(found) == awkward.count() and all((r.component_id is None) == (r.doc_id is None) for r in found)

@@ -1,16 +1,19 @@
 """Near duplicates by a blocked sparse product of the document by n-gram incidence matrix.
 
-Row blocks are documents, column blocks ranges of n-gram hashes. Size-derived bounds keep the product sparse: documents with the same
-set count once; only the rarest n-grams of a set, as many as two sets at the threshold cannot both miss, are multiplied to
-find pairs; sizes, places in the order of rarity and parity sketches discard pairs that cannot reach the threshold; and
-the overlaps of the rest are accumulated over the column blocks.
+Row blocks are documents of like set sizes, column blocks are classes of n-gram hashes. The threshold bounds how many n-grams two sets
+of a row block can differ in, and there are more column blocks than that; so two sets that link hold the same n-grams in some block. Blocks
+are known by a hash of their n-grams, which brings together the rows that are equal in one; pairs that are equal in none lie below the bound
+and are never formed. Sizes and parity sketches discard pairs that cannot reach the threshold, and the overlaps of the rest are
+accumulated over the column blocks. Documents with the same set count once.
 
-What is asked for is components, not all links: within a group of documents that share an n-gram, every document
+What is asked for is components, not all links: within a group of documents that are equal in a block, every document
 meets the group's centre first, and then only documents still in different components meet each other.
 """
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Iterator
 from functools import reduce
 from operator import add
@@ -26,18 +29,15 @@ from trendloom.session import stage
 SHINGLE = 3
 #: Threshold in per cent.
 LEAST = 90
-#: Frequent n-grams that are put last in the order; only the order depends on the bound.
-FREQUENT = 1 << 18
-FREQUENT_IN_BATCH = 3
+#: A row block reaches up to this many times its smallest size.
+BAND = 1.4
 SKETCH = 16
 COLUMN_BLOCKS = 4
 #: Ids of documents in close pairs are sent to the executors up to this size.
 BROADCAST_BYTES = 32 << 20
-#: Tokens among which a task looks for frequent ones.
-HELD = 1 << 21
 #: Sets that a task remembers to send once.
 MET = 1 << 18
-#: Rounds in which the centres of columns are met; what they leave open is settled by pairs, so only the work depends on it.
+#: Rounds in which the centres of blocks are met; what they leave open is settled by pairs, so only the work depends on it.
 ROUNDS = 1
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -102,43 +102,110 @@ SKETCHES = [f"k{i}" for i in range(SKETCH)]
 COARSE = SKETCHES[:2]
 
 
-def _frequent(names: list[str], held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    if held:
-        tokens, counts = np.unique(np.concatenate(held), return_counts=True)
-        tokens, counts = tokens[counts >= FREQUENT_IN_BATCH], counts[counts >= FREQUENT_IN_BATCH]
-        yield _columns(names, [pa.nulls(len(tokens), pa.int64())] * (len(names) - 2) + [tokens, counts])
-
-
 def _survey(rows: DataFrame, width: int) -> DataFrame:
-    """One row per document (id, set, n, sketch), and rows (token, seen) for n-grams that are frequent in a batch."""
-    names = ["id", "set", "n", *SKETCHES, "token", "seen"]
+    """One row per document: id, set, n and sketch."""
+    names = ["id", "set", "n", *SKETCHES]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            met, held = set(), []
-            for part in slices(batch):
-                if sum(map(len, held)) > HELD:
-                    yield from _frequent(names, held)
-                    held = []
-                found = Incidence(part.column("text"), width)
-                sets, none = found.signatures(), pa.nulls(part.num_rows, pa.int64())
-                yield _columns(names, [part.column("id"), sets, found.sizes, *found.sketches(), none, none])
-                held.append(found.tokens[_first_met(sets, met)[found.owner]])
-            yield from _frequent(names, held)
+        for batch in (part for whole in batches for part in slices(whole)):
+            found = Incidence(batch.column("text"), width)
+            yield _columns(names, [batch.column("id"), found.signatures(), found.sizes, *found.sketches()])
 
     return stage(rows.mapInArrow(lean(read), ", ".join(f"{n} long" for n in names)))
 
 
-def _prefixes(rows: DataFrame, frequent: np.ndarray, width: int, least: int) -> DataFrame:
-    """(token, set, n, place): the first tokens of every set in the order of rarity, one more than may be missed.
+@functools.lru_cache(maxsize=32)
+def _bands(largest: int) -> np.ndarray:
+    """The smallest sizes of the row blocks, up to the first above ``largest``."""
+    edges = [1]
+    while edges[-1] <= largest:
+        edges.append(max(edges[-1] + 1, int(edges[-1] * BAND)))
+    return np.array(edges)
+
+
+@functools.lru_cache(maxsize=4096)
+def _blocks(smallest: int, largest: int, least: int) -> tuple[int, int]:
+    """How many column blocks there are for a row block, and how many of them are to spare.
+
+    Two linked sets of at most ``largest`` n-grams differ in at most ``apart`` of them, so with ``apart + 1 + spare`` blocks they are equal in
+    ``spare + 1`` at least. There are about as many to spare as are empty in a set of the smallest size, and at most ``apart``; only the work
+    depends on it.
+    """
+    apart = 2 * largest * (100 - least) // (100 + least)
+    spare = 0
+    while spare < apart:
+        blocks = apart + 1 + spare
+        empty = blocks * (1 - 1 / blocks) ** smallest
+        if spare >= empty + 3 * math.sqrt(empty):
+            break
+        spare += 1
+    return apart + 1 + spare, spare
+
+
+def _equal_blocks(found: Incidence, mine: np.ndarray, least: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(document, token) for the column blocks of the documents ``mine``: equal tokens for equal blocks.
 
-    Tokens are told apart by bands of set sizes, a band as wide as sizes of linked sets may differ. A set stands in its own
-    band with the tokens that it may share with smaller sets, and in the next one with the fewer that it may share
-    with larger sets.
+    A set stands in its own row block and in each that a larger set may be in with which it links. Two sets equal in
+    blocks that are all empty in both have more empty ones than there are to spare; so of a set's empty blocks the first
+    count, as many as it has beyond the spare ones, and two such sets share the first that both have.
     """
-    width_of_band = 1.0001 * np.log(100 / least)
-    order = np.argsort(frequent)
-    known = frequent[order]
+    sizes = found.sizes
+    edges = _bands(100 * int(sizes.max(initial=1)) // least + 1)
+    own = np.searchsorted(edges, sizes, side="right") - 1
+    last = np.searchsorted(edges, 100 * sizes // least, side="right") - 1
+    hashes = mix(found.tokens.view(U) ^ U(0x94D049BB133111EB))
+    for up in range(int((last - own).max(initial=0)) + 1):
+        docs = np.flatnonzero(mine & (sizes > 0) & (own + up <= last))
+        if not len(docs):
+            return
+        band = own[docs] + up
+        shape = [_blocks(max(1, -(-int(edges[b]) * least // 100)), int(edges[b + 1]) - 1, least) for b in range(int(band.max()) + 1)]
+        blocks, spare = (np.array([x[i] for x in shape])[band] for i in (0, 1))
+        # With one block only equal sets would meet.
+        docs, band, blocks, spare = (x[blocks > 1] for x in (docs, band, blocks, spare))
+        base = np.concatenate([[0], np.cumsum(blocks)])
+        at = np.full(len(sizes), -1)
+        at[docs] = np.arange(len(docs))
+        row = at[found.owner]
+        used = row >= 0
+        row = row[used]
+        cell = base[row] + (hashes[used] % blocks[row].astype(U)).astype(np.int64)
+        sums, counts = np.zeros(base[-1], U), np.bincount(cell, minlength=base[-1])
+        np.add.at(sums, cell, mix(hashes[used]))
+        owner = np.repeat(np.arange(len(docs)), blocks)
+        block = np.arange(base[-1]) - base[owner]
+        empty = counts == 0
+        before = np.cumsum(empty) - empty
+        rank = before - before[base[:-1]][owner] if len(docs) else before
+        beyond = np.bincount(owner, empty, minlength=len(docs)).astype(np.int64) - spare
+        sent = ~empty | (rank < beyond[owner])
+        place = (band[owner] * (1 << 32) + block).astype(U)
+        tokens = mix(sums + mix(place ^ U(0xD6E8FEB86659FD93)) + counts.astype(U)).view(np.int64)
+        yield docs[owner[sent]], tokens[sent]
+
+
+def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows in order, those whose token stands beside another set; a batch's last row waits for the next batch."""
+    tokens, sets, kept = (np.zeros(0, kind) for kind in (np.int64, np.int64, bool))
+    for batch in batches:
+        tokens = np.concatenate([tokens[-1:], batch.column("token").to_numpy()])
+        sets = np.concatenate([sets[-1:], batch.column("set").to_numpy()])
+        gone = np.concatenate([kept[-1:], np.zeros(batch.num_rows, bool)])
+        same = tokens[1:] == tokens[:-1]
+        new = np.ones(len(tokens), bool)
+        new[1:] = ~(same & (sets[1:] == sets[:-1]))
+        tokens, sets, gone = tokens[new], sets[new], gone[new]
+        same = tokens[1:] == tokens[:-1]
+        kept = np.zeros(len(tokens), bool)
+        kept[1:] |= same
+        kept[:-1] |= same
+        out = kept & ~gone
+        kept |= gone
+        yield _columns(["token", "set"], [tokens[out], sets[out]])
+
+
+def _meetings(rows: DataFrame, width: int, least: int) -> DataFrame:
+    """(token, set): the sets that are equal in a column block to another set, by the block's token."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met = set()
@@ -146,28 +213,11 @@ def _prefixes(rows: DataFrame, frequent: np.ndarray, width: int, least: int) ->
             found = Incidence(batch.column("text"), width)
             sets = found.signatures()
             met = met if len(met) < MET else set()
-            mine = _first_met(sets, met)[found.owner]
-            owner, tokens = found.owner[mine], found.tokens[mine]
-            rank = np.zeros(len(tokens), np.int64)
-            if len(known):
-                at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
-                rank = np.where(known[at] == tokens, order[at] + 1, 0)
-            by = np.lexsort((tokens, rank, owner))
-            owner, tokens = owner[by], tokens[by]
-            sizes = found.sizes[owner]
-            starts = np.ones(len(owner), bool)
-            starts[1:] = owner[1:] != owner[:-1]
-            place = np.arange(len(owner)) - np.maximum.accumulate(np.where(starts, np.arange(len(owner)), 0))
-            band = (np.log(sizes) / width_of_band).astype(np.int64)
-            # Of small sets one token more or less is already too much: no other set links with them.
-            able = least * (sizes + 1) <= 100 * sizes
-            own = able & (place <= sizes + (-sizes * least // 100))
-            next_ = able & (place <= sizes + (-2 * sizes * least // (100 + least)))
-            for kept, band_of in ((own, band), (next_, band + 1)):
-                named = mix(tokens[kept].view(U) + band_of[kept].astype(U) * U(0x9E3779B97F4A7C15)).view(np.int64)
-                yield _columns(["token", "set", "n", "place"], [named, sets[owner[kept]], sizes[kept], place[kept]])
-
-    return rows.mapInArrow(lean(read), "token long, set long, n long, place long")
+            for docs, tokens in _equal_blocks(found, _first_met(sets, met), least):
+                yield _columns(["token", "set"], [tokens, sets[docs]])
+
+    blocks = rows.mapInArrow(lean(read), "token long, set long").repartition("token").sortWithinPartitions("token", "set")
+    return stage(blocks.mapInArrow(shared, "token long, set long"))
 
 
 def _block_rows(rows: DataFrame, width: int) -> DataFrame:
@@ -187,10 +237,9 @@ def _block_rows(rows: DataFrame, width: int) -> DataFrame:
 
 
 def _may_link(x: str, y: str, least: int) -> Column:
-    """Bounds from the sizes and from the places of a common token that is the first one in both orders."""
+    """The bound from the sizes."""
     nx, ny = F.col(f"{x}.n"), F.col(f"{y}.n")
-    rest = F.least(nx - F.col(f"{x}.place"), ny - F.col(f"{y}.place"))
-    return (F.least(nx, ny) * 100 >= F.greatest(nx, ny) * least) & (rest * (100 + least) >= (nx + ny) * least)
+    return F.least(nx, ny) * 100 >= F.greatest(nx, ny) * least
 
 
 def _near(x: str, y: str, least: int, bits: list[str]) -> Column:
@@ -201,7 +250,7 @@ def _near(x: str, y: str, least: int, bits: list[str]) -> Column:
 
 
 def _links(pairs: DataFrame, sets: DataFrame, rows: DataFrame, width: int, least: int) -> DataFrame:
-    """Of candidate pairs (x, y: rows of a column), those that reach the threshold, as links (a, b) of their ids.
+    """Of candidate pairs (x, y: rows that are equal in a block), those that reach the threshold, as links (a, b) of their ids.
 
     The whole sketches discard most of the others; the overlaps of the rest are summed up over the column blocks.
     """
@@ -229,7 +278,7 @@ def _links(pairs: DataFrame, sets: DataFrame, rows: DataFrame, width: int, least
 
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, least: int = LEAST, frequent: int = FREQUENT
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, least: int = LEAST
 ) -> DataFrame:
     """doc_id, n_shingles and component_id, the smallest id reachable by links, for every row.
 
@@ -240,25 +289,13 @@ def near_duplicates(
     spark = docs.sparkSession
     ident = F.col(f"`{id_col}`").cast("long")
     rows = docs.select(ident.alias("id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    survey = _survey(rows, width)
-    every = survey.filter("token IS NULL").drop("token", "seen")
-    top = (
-        survey.filter("token IS NOT NULL").groupBy("token").agg(F.sum("seen").alias("seen")).orderBy(F.desc("seen"), "token").limit(frequent).collect()
-    )
-    last = np.array([r.token for r in reversed(top)], np.int64)
+    every = _survey(rows, width)
     sets = stage(
         every.filter("n > 0 AND id IS NOT NULL").groupBy("set").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("n", *SKETCHES)])
     )
-
-    # Pairs come from the columns of the prefixes; a column with one set has none.
     named = rows.filter("id IS NOT NULL")
-    prefixes = _prefixes(named, last, width, least)
-    member = F.struct("set", "n", "place")
-    columns = prefixes.groupBy(F.col("token").alias("of")).agg(F.min(member).alias("x"), F.max(member).alias("y"), F.count(F.lit(1)).alias("rows"))
-    # Most columns hold two sets that met by chance; the bounds discard these pairs at once.
-    shared = columns.filter((F.col("x.set") != F.col("y.set")) & ((F.col("rows") > 2) | _may_link("x", "y", least))).select("of")
-    hits = stage(prefixes.join(shared, F.col("token") == F.col("of")).drop("of").groupBy("token", "set").agg(F.min("place").alias("place")))
-    full = stage(hits.join(sets, "set").select("token", F.struct("id", F.col("n").cast("int").alias("n"), F.col("place").cast("int").alias("place"), *COARSE).alias("x")))
+    hits = _meetings(named, width, least)
+    full = stage(hits.join(sets, "set").select("token", F.struct("id", F.col("n").cast("int").alias("n"), *COARSE).alias("x")))
 
     links = spark.createDataFrame([], "a long, b long")
     labels = None
@@ -266,15 +303,15 @@ def near_duplicates(
         known = full.withColumn("component", F.col("x.id"))
         if labels is not None:
             known = full.join(labels, F.col("x.id") == F.col("node"), "left").select("token", "x", F.coalesce("component", "x.id").alias("component"))
-        # Columns whose rows are all in one component are settled. Elsewhere the rows outside the centre's component meet a centre of their own.
+        # Blocks whose rows are all in one component are settled. Elsewhere the rows outside the centre's component meet a centre of their own.
         open_ = known.groupBy(F.col("token").alias("of")).agg(
-            F.min("component").alias("low"), F.max("component").alias("high"), F.min(F.struct("x.place", "x.n", "x.id", "component")).alias("centre")
+            F.min("component").alias("low"), F.max("component").alias("high"), F.min(F.struct("x.n", "x.id", "component")).alias("centre")
         ).filter("low <> high")
         rest = stage(known.join(open_, F.col("token") == F.col("of")).select("token", "x", "component", (F.col("component") != F.col("centre.component")).alias("outside")))
         if turn == ROUNDS:
             break
         centres = (rest.filter("outside") if turn else rest).groupBy(F.col("token").alias("of")).agg(
-            F.min(F.struct("x.place", "x.n", "x.id", F.col("x").alias("y"), F.col("component").alias("y_component"))).alias("c")
+            F.min(F.struct("x.n", "x.id", F.col("x").alias("y"), F.col("component").alias("y_component"))).alias("c")
         )
         pairs = (
             rest.join(centres, F.col("token") == F.col("of"))
