@@ -104,8 +104,31 @@ def test_language(spark, awkward):
     for r in found:
         lettered = any(c.isalpha() for c in r.row.text or "")
         assert (r.lang_pred == "und") == (not lettered) and 0 <= r.score <= 1 and (lettered or r.score == 0)
-    with pytest.raises(ValueError):
-        language.fit(docs.limit(0))
+    for nothing in (docs.limit(0), docs.withColumn("lang", F.lit(None).cast("string"))):
+        found = language.predict(awkward, language.fit(nothing))
+        assert found.count() == awkward.count() == found.filter("lang_pred = 'und' AND score = 0").count()
+
+
+def test_the_networks_score_decides_what_stays(spark, awkward):
+    docs = spark.createDataFrame([(1, "plain words"), (2, "qqqq"), (3, "123"), (4, None)], "doc_id long, text string")
+    network = language.Network(["a", "b"], hidden=3)
+    network.weights = {k: np.zeros_like(v) for k, v in network.weights.items()}
+    assert language.keep_known(docs, network).count() == 0
+    network.weights["bias"][0] = 5
+    assert sorted(r.doc_id for r in language.keep_known(docs, network).collect()) == [1, 2]
+    assert sorted(r.doc_id for r in language.keep_known(docs, language.Network([])).collect()) == [1, 2]
+    assert language.keep_known(awkward, network).schema == awkward.schema
+
+
+def test_pipeline_on_empty_and_unlabelled_tables(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    docs.limit(0).write.parquet(str(tmp_path / "none" / "documents.parquet"))
+    docs.limit(30).withColumn("lang", F.lit(None).cast("string")).write.parquet(str(tmp_path / "unlabelled" / "documents.parquet"))
+    docs.limit(5).withColumns({c: F.lit(None).cast("string") for c in ("lang", "text")}).write.parquet(str(tmp_path / "null" / "documents.parquet"))
+    for folder, least in (("none", 0), ("unlabelled", 1), ("null", 0)):
+        found = corpus_pipeline.run(spark, str(tmp_path / folder)).count()
+        assert found >= least and (least or not found)
+        assert workload.op3_language(spark, str(tmp_path / folder)).filter("lang_pred <> 'und'").count() == 0
 
 
 def test_backpropagation_has_the_slopes_of_the_loss():

@@ -98,8 +98,6 @@ def _columns(names: list[str], values: list) -> pa.RecordBatch:
 
 
 SKETCHES = [f"k{i}" for i in range(SKETCH)]
-#: The part of the sketches that goes along with the tokens.
-COARSE = SKETCHES[:2]
 
 
 def _survey(rows: DataFrame, width: int) -> DataFrame:
@@ -295,7 +293,15 @@ def near_duplicates(
     )
     named = rows.filter("id IS NOT NULL")
     hits = _meetings(named, width, least)
-    full = stage(hits.join(sets, "set").select("token", F.struct("id", F.col("n").cast("int").alias("n"), *COARSE).alias("x")))
+    # The texts that meet others in most blocks are the likeliest centres: what was edited in a copy is equal nowhere.
+    known = sets.join(hits.groupBy(F.col("set").alias("of")).agg(F.count(F.lit(1)).cast("int").alias("met")), F.col("set") == F.col("of")).drop("of")
+    members = stage(hits.join(known, "set").select("token", F.struct((-F.col("met")).alias("rank"), "id", F.col("n").cast("int").alias("n"), *SKETCHES).alias("x")))
+    # Of blocks in which the same sets meet, one is enough.
+    lists = members.groupBy("token").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("x.id").alias("low"), F.max("x.id").alias("high"), F.bit_xor(F.xxhash64("x.id")).alias("all")
+    )
+    one_each = lists.groupBy("rows", "low", "high", "all").agg(F.min("token").alias("of"))
+    full = stage(members.join(one_each.select("of"), F.col("token") == F.col("of")).drop("of"))
 
     links = spark.createDataFrame([], "a long, b long")
     labels = None
@@ -305,18 +311,18 @@ def near_duplicates(
             known = full.join(labels, F.col("x.id") == F.col("node"), "left").select("token", "x", F.coalesce("component", "x.id").alias("component"))
         # Blocks whose rows are all in one component are settled. Elsewhere the rows outside the centre's component meet a centre of their own.
         open_ = known.groupBy(F.col("token").alias("of")).agg(
-            F.min("component").alias("low"), F.max("component").alias("high"), F.min(F.struct("x.n", "x.id", "component")).alias("centre")
+            F.min("component").alias("low"), F.max("component").alias("high"), F.min(F.struct("x.rank", "x.id", "component")).alias("centre")
         ).filter("low <> high")
         rest = stage(known.join(open_, F.col("token") == F.col("of")).select("token", "x", "component", (F.col("component") != F.col("centre.component")).alias("outside")))
         if turn == ROUNDS:
             break
         centres = (rest.filter("outside") if turn else rest).groupBy(F.col("token").alias("of")).agg(
-            F.min(F.struct("x.n", "x.id", F.col("x").alias("y"), F.col("component").alias("y_component"))).alias("c")
+            F.min(F.struct("x.rank", "x.id", F.col("x").alias("y"), F.col("component").alias("y_component"))).alias("c")
         )
         pairs = (
             rest.join(centres, F.col("token") == F.col("of"))
             .select("x", "component", F.col("c.y").alias("y"), F.col("c.y_component").alias("y_component"))
-            .filter((F.col("component") != F.col("y_component")) & _may_link("x", "y", least) & _near("x", "y", least, COARSE))
+            .filter((F.col("component") != F.col("y_component")) & _may_link("x", "y", least) & _near("x", "y", least, SKETCHES))
         )
         found = _links(pairs, sets, named, width, least)
         if found.isEmpty():
@@ -327,7 +333,7 @@ def near_duplicates(
     # What the centres left open: rows outside the centre's component against all rows of other components.
     one = rest.filter("outside").select("token", "x", "component")
     other = rest.select(F.col("token").alias("of"), F.col("x").alias("y"), F.col("component").alias("y_component"))
-    possible = (F.col("component") != F.col("y_component")) & _may_link("x", "y", least) & _near("x", "y", least, COARSE)
+    possible = (F.col("component") != F.col("y_component")) & _may_link("x", "y", least) & _near("x", "y", least, SKETCHES)
     found = _links(one.join(other, (F.col("token") == F.col("of")) & possible), sets, named, width, least)
     if not found.isEmpty():
         labels = components(links.union(found))

@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from trendloom.llm.tables import whole_row
 from trendloom.llm.wordhash import lean
 
+#: A language has to be this many times as likely as if all were equally likely.
+ABOVE_EVEN = 1.25
 UNKNOWN = "und"
 HIDDEN = 8
 BLOCK = 128
@@ -185,11 +187,9 @@ def _trained(windows: tuple[tuple[str, str], ...]) -> Network:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS) -> Network:
-    """Train on the learnable documents; raises ``ValueError`` where none has a language and a letter."""
+    """Train on the learnable documents; where none has a language and a letter, the network knows no languages."""
     windows = tuple(sample_windows(docs, id_col, text_col, lang_col, sample_docs))
-    if not windows:
-        raise ValueError("no labelled document to learn from")
-    return _trained(windows)
+    return _trained(windows) if windows else Network([])
 
 
 def pooled(network: Network, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -218,12 +218,14 @@ def pooled(network: Network, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def predict(docs: DataFrame, network: Network, text_col: str = "text") -> DataFrame:
     """``row`` (all columns), lang_pred and score for every document, from the whole text alone.
 
-    lang_pred is ``und`` and score 0 where the text is NULL or has no letter. Long texts go through in blocks, so memory is
+    lang_pred is ``und`` and score 0 where the text is NULL or has no letter, and everywhere if the network knows no languages. Long texts go through in blocks, so memory is
     bounded; an empty table gives no rows.
     """
     text = F.col("row").getField(text_col).cast("string")
     lettered = docs.select(whole_row(docs).alias("row")).withColumn("text", F.when(text.rlike(r"\p{L}"), text))
     schema = T.StructType([lettered.schema["row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    if not network.languages:
+        return lettered.select("row", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
     names = np.array([*network.languages, UNKNOWN], object)
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,6 +238,18 @@ def predict(docs: DataFrame, network: Network, text_col: str = "text") -> DataFr
     return lettered.mapInArrow(lean(label), schema)
 
 
+def keep_known(docs: DataFrame, network: Network, text_col: str = "text") -> DataFrame:
+    """The documents, unchanged, whose language the network can tell.
+
+    A text goes that is NULL or has no letter, and one of which no language's pooled probability reaches ``ABOVE_EVEN`` times the even share. A
+    network that knows no languages tells none apart, so then every text with a letter stays.
+    """
+    found = predict(docs, network, text_col)
+    if not network.languages:
+        return found.filter(F.col("row").getField(text_col).cast("string").rlike(r"\p{L}")).select("row.*")
+    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= ABOVE_EVEN / len(network.languages))).select("row.*")
+
+
 def languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Fit on ``docs`` and label all of them: doc_id, held_out, lang_pred, score."""
     ident = docs.withColumn(id_col, F.col(f"`{id_col}`")).select(id_col, text_col)
