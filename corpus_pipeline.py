@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from trendloom.llm import exact_dedup, jaccard, language, mixing, pieces
 from trendloom.session import stage
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without any letter have no language and go; every other document stays."""
-    found = language.predict(docs, language.fit(docs))
-    return found.filter(F.col("lang_pred") != language.UNKNOWN).select("row.*")
+    """Texts without any letter go, and those of which the network finds no language likelier than by chance."""
+    return language.keep_known(docs, language.fit(docs))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts one row stays; NULL and empty texts are equal. An empty table stays empty."""
     return exact_dedup.drop_copies(docs)
 
 
@@ -24,6 +24,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Whole and drawn copies of each document by its source's target; documents may go or stand several times."""
     return mixing.mix(docs)
 
 
@@ -45,6 +46,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, source and samples of the mixed documents; an empty or unlabelled table goes through as any other."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, function in STAGES:
         docs = stage(function(spark, docs, sf_dir))
