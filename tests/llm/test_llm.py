@@ -337,6 +337,46 @@ def test_articles_in_open_heads_and_wide_forms(page, heading):
     assert html_extract.texts([page.format(f"<p>{words}</p>" * 3)], html_extract.trained()) == [heading + "\n".join([words] * 3)]
 
 
+@pytest.mark.parametrize("page", [
+    '<body><div class="container"><div class="row"><div class="col-md-8"><h1>Title here</h1>{}</div></div></div></body>',
+    '<body><nav><a href="/">Home</a></nav><div class="row"><h1>Title here</h1>{}</div><footer>x</footer></body>',
+    '<body><div class="rich"><h1>Title here</h1>{}</div></body>',
+    '<body><div class="hentry layout core md"><h1>Title here</h1>{}</div><div class="sidebar"><p>Read this, too.</p></div></body>',
+    '<body><x-story class="copy qzj"><h1>Title here</h1>{}</x-story></body>',
+])
+def test_names_not_trained_on_say_nothing(page):
+    words = ("Some words, and more of them. " * 5).strip()
+    assert html_extract.texts([page.format(f"<p>{words}</p>" * 2)], html_extract.trained()) == [f"Title here\n{words}\n{words}"]
+
+
+def test_code_is_part_of_the_article():
+    words = ("Some words, and more of them. " * 5).strip()
+    page = f"<body><nav><a href=/>Home</a></nav><article><h1>Title here</h1><p>{words}</p><pre><code>def f(x):\n    return x + 1\n</code></pre><p>{words}</p></article></body>"
+    assert html_extract.texts([page], html_extract.trained()) == [f"Title here\n{words}\ndef f(x): return x + 1\n{words}"]
+
+
+class CountedList(list):
+    """A list that counts the elements looked at by place."""
+
+    reads = 0
+
+    def __getitem__(self, at):
+        CountedList.reads += 1
+        return list.__getitem__(self, at)
+
+
+@pytest.mark.parametrize("part", ["<b></i>", "<b><hr>", "<p><button><b><hr>", "<li><b></p>", "<div></span>"])
+def test_open_elements_are_not_searched(part):
+    reads = []
+    for n in (500, 1000):
+        dom = html_extract.Dom(labelled=False)
+        dom.tag, CountedList.reads = CountedList(dom.tag), 0
+        dom.feed(part * n)
+        dom.close()
+        reads.append(CountedList.reads)
+    assert reads[1] <= 2 * reads[0] + 10
+
+
 def test_text_ends_an_open_head():
     dom = html_extract.parse("<html><head> <title>T</title>\nSome words", labelled=False)
     assert [dom.tag[node] for node, text in dom.pieces if text and "words" in text] == ["html"]
@@ -344,15 +384,16 @@ def test_text_ends_an_open_head():
 
 def test_page_model_on_pages_not_trained_on():
     doms = [html_extract.parse(x) for x in html_extract.labelled_pages(100, 77)]
-    forest, weights = html_extract.Forest(doms), html_extract.trained()
-    article, _ = forest.marginals(forest.unary(weights[0]), weights[1])
+    model = html_extract.trained()
+    article = model.article(model.forest(doms))
     assert ((article > 0.5) == np.concatenate([d.label for d in doms])).mean() > 0.97
 
 
 def test_marginals_are_exact():
     dom = html_extract.parse("<div><p>a</p><p>b <b>c</b></p></div>")
-    forest, rng = html_extract.Forest([dom]), np.random.default_rng(1)
-    unary, steps = rng.normal(size=forest.count), rng.normal(size=(64, 2, 2))
+    tags = {tag: i for i, tag in enumerate(["div", "p", "b"], 1)}
+    forest, rng = html_extract.Forest([dom], {}, tags), np.random.default_rng(1)
+    unary, steps = rng.normal(size=forest.count), rng.normal(size=(4, 2, 2))
     mass = np.zeros(forest.count)
     total = 0.0
     for y in itertools.product((0, 1), repeat=forest.count):

@@ -2,16 +2,18 @@
 
 Every element is article or not. Unary potentials come from its tag, its class and id words and its text, pairwise
 ones from the step between parent and child; sum-product messages up and down the tree give exact marginals. The
-weights are trained by gradient ascent on the log-likelihood of labelled pages.
+weights are trained by gradient ascent on the log-likelihood of labelled pages. Names that training never saw carry
+no weight, so blocks under them are judged by their tags, texts and neighbours.
 """
 
 from __future__ import annotations
 
+import collections
 import functools
 import re
-import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +42,9 @@ ENDS = {
 #: What may stand in a head; any other start tag, and text, ends an open head.
 HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 FENCE = frozenset("article aside body div section main td th table ul ol li form header footer nav blockquote figure html dd dt button".split())
-SIZE = 512
 PAGES = 400
+#: Features and tags on fewer training pages than this carry no weight, as those that training never saw.
+LEAST_PAGES = 4
 SEED = 20240611
 STEPS = 200
 SPLIT = re.compile(r"[^a-z]+")
@@ -59,6 +62,20 @@ class Dom(HTMLParser):
         self.parent, self.tag, self.names, self.label = [-1], ["#root"], [()], [0]
         self.pieces: list[tuple[int, str | None]] = []
         self.open = [0]
+        self.places = collections.defaultdict(list)
+
+    def _push(self, node: int) -> None:
+        self.places[self.tag[node]].append(len(self.open))
+        self.open.append(node)
+
+    def _cut(self, place: int) -> None:
+        """Close the open elements from ``place`` on; each element is closed once, so pages take time in proportion to their length."""
+        while len(self.open) > place:
+            self.places[self.tag[self.open.pop()]].pop()
+
+    def _last(self, tags) -> int:
+        """Where the innermost open element among ``tags`` stands, 0 if there is none."""
+        return max((self.places[tag][-1] for tag in tags if self.places.get(tag)), default=0)
 
     def _end_block(self) -> None:
         self.pieces.append((0, None))
@@ -66,7 +83,7 @@ class Dom(HTMLParser):
     def _end_head(self) -> None:
         if self.tag[self.open[-1]] == "head":
             self._end_block()
-            self.open.pop()
+            self._cut(len(self.open) - 1)
 
     def handle_starttag(self, tag, attrs):
         if tag not in HEAD:
@@ -92,7 +109,7 @@ class Dom(HTMLParser):
         if tag == "br":
             self.pieces.append((self.open[-1], " "))
         if tag not in VOID:
-            self.open.append(len(self.tag) - 1)
+            self._push(len(self.tag) - 1)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -100,24 +117,19 @@ class Dom(HTMLParser):
             self.handle_endtag(tag)
 
     def _pop_to(self, tags, fence) -> None:
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.tag[self.open[i]] in tags:
-                del self.open[i:]
-                return
-            if self.tag[self.open[i]] in fence:
-                return
+        place = self._last(tags)
+        if place and place >= self._last(fence):
+            self._cut(place)
 
     def handle_endtag(self, tag):
         if tag in BLOCKS:
             self._end_block()
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.tag[self.open[i]] == tag:
-                del self.open[i:]
-                return
+        if place := self._last((tag,)):
+            self._cut(place)
 
     def parse_html_declaration(self, i):
         """Where the ``<!...`` at i, which is no comment, ends: at the next ``>`` or with the page, and CDATA of svg and math at ``]]>``."""
-        foreign = any(self.tag[x] in ("svg", "math") for x in self.open)
+        foreign = self._last(("svg", "math")) > 0
         end = "]]>" if foreign and self.rawdata.startswith("<![CDATA[", i) else ">"
         at = self.rawdata.find(end, i + 2)
         return len(self.rawdata) if at < 0 else at + len(end)
@@ -135,13 +147,8 @@ def parse(html: str, labelled: bool = True) -> Dom:
     return dom
 
 
-@functools.lru_cache(maxsize=65536)
-def _slot(word: str) -> int:
-    return zlib.crc32(word.encode()) % SIZE
-
-
-def features(dom: Dom) -> list[list[int]]:
-    """For each element the slots of what holds: tag, names, amounts of own and linked text, and its parent's names."""
+def features(dom: Dom) -> list[list[str]]:
+    """What holds of each element: its tag, names, amounts of own and linked text, and its parent's tag."""
     n = len(dom.tag)
     own, stops = [0] * n, [0] * n
     for node, text in dom.pieces:
@@ -161,24 +168,35 @@ def features(dom: Dom) -> list[list[int]]:
         found = ["bias", "t " + tag, f"o {min(own[i], 255).bit_length()}", f"f {min(full[i], 255).bit_length()}", f"l {share}", f"s {min(stops[i], 3).bit_length()}"]
         found += ["c " + x for x in dom.names[i]]
         found.append("u " + dom.tag[above])
-        out.append([_slot(x) for x in found])
+        out.append(found)
     return out
 
 
+class Known:
+    """Slots of the features and of the tags that stand on at least ``LEAST_PAGES`` of the training pages; tags have slot 0 for any other."""
+
+    def __init__(self, doms: list[Dom]) -> None:
+        words = collections.Counter(x for dom in doms for x in {x for found in features(dom) for x in found})
+        tags = collections.Counter(x for dom in doms for x in set(dom.tag))
+        self.words = {x: i for i, x in enumerate(sorted(x for x, n in words.items() if n >= LEAST_PAGES))}
+        self.tags = {x: i for i, x in enumerate(sorted(x for x, n in tags.items() if n >= LEAST_PAGES), 1)}
+
+
 class Forest:
     """Pages side by side as one forest, with nodes sorted by depth so that messages go level by level."""
 
-    def __init__(self, doms: list[Dom]) -> None:
+    def __init__(self, doms: list[Dom], words: Mapping[str, int], tags: Mapping[str, int]) -> None:
         parent, slots, rows, kind, start = [], [], [], [], 0
         for dom in doms:
             parent.append(np.array(dom.parent) + np.where(np.array(dom.parent) >= 0, start, 0))
             for i, found in enumerate(features(dom)):
+                found = [words[x] for x in found if x in words]
                 slots += found
                 rows += [start + i] * len(found)
-            kind += [_slot("p " + tag) % 64 for tag in dom.tag]
+            kind += [tags.get(tag, 0) for tag in dom.tag]
             start += len(dom.tag)
         self.parent = np.concatenate(parent)
-        self.rows, self.slots, self.kind, self.count = np.array(rows), np.array(slots), np.array(kind), start
+        self.rows, self.slots, self.kind, self.count = np.array(rows, np.int64), np.array(slots, np.int64), np.array(kind), start
         depth = np.zeros(start, np.int64)
         for i, above in enumerate(self.parent.tolist()):
             if above >= 0:
@@ -212,25 +230,42 @@ class Forest:
         return 1 / (1 + np.exp(np.clip(belief[:, 0] - belief[:, 1], -60, 60))), both
 
 
+class Model(NamedTuple):
+    """Weights of features and of steps from parent to child, and the slots they stand in."""
+
+    unary: np.ndarray
+    steps: np.ndarray
+    words: dict[str, int]
+    tags: dict[str, int]
+
+    def forest(self, doms: list[Dom]) -> Forest:
+        return Forest(doms, self.words, self.tags)
+
+    def article(self, forest: Forest) -> np.ndarray:
+        return forest.marginals(forest.unary(self.unary), self.steps)[0]
+
+
 @functools.lru_cache(maxsize=2)
-def trained(count: int = PAGES, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
-    """Unary and pairwise weights from ``count`` labelled pages: observed minus expected features, by Adam."""
+def trained(count: int = PAGES, seed: int = SEED) -> Model:
+    """The model of ``count`` labelled pages: observed minus expected features, by Adam."""
     doms = [parse(x) for x in labelled_pages(count, seed)]
-    forest, y = Forest(doms), np.concatenate([d.label for d in doms])
+    known = Known(doms)
+    forest, y = Forest(doms, known.words, known.tags), np.concatenate([d.label for d in doms])
     child = np.flatnonzero(forest.parent >= 0)
     seen = np.zeros((forest.count, 2, 2))
     seen[child, y[forest.parent[child]], y[child]] = 1
-    weights = [np.zeros(SIZE), np.zeros((64, 2, 2))]
+    size, kinds = len(known.words), len(known.tags) + 1
+    weights = [np.zeros(size), np.zeros((kinds, 2, 2))]
     slope, square = [0.0, 0.0], [0.0, 0.0]
     for step in range(1, STEPS + 1):
         single, both = forest.marginals(forest.unary(weights[0]), weights[1])
-        grads = [np.bincount(forest.slots, (y - single)[forest.rows], SIZE), np.zeros((64, 2, 2))]
+        grads = [np.bincount(forest.slots, (y - single)[forest.rows], size), np.zeros((kinds, 2, 2))]
         np.add.at(grads[1], forest.kind[child], (seen - both)[child])
         for i, g in enumerate(grads):
             g = g / count - 0.002 * weights[i]
             slope[i], square[i] = 0.9 * slope[i] + 0.1 * g, 0.99 * square[i] + 0.01 * g * g
             weights[i] = weights[i] + 0.1 * (slope[i] / (1 - 0.9**step)) / (np.sqrt(square[i] / (1 - 0.99**step)) + 1e-8)
-    return weights[0], weights[1]
+    return Model(*weights, known.words, known.tags)
 
 
 def _open_wide_forms(dom: Dom) -> None:
@@ -255,13 +290,12 @@ def _silent(dom: Dom, tags: frozenset = SILENT) -> list[bool]:
     return out
 
 
-def texts(htmls: list[str], weights: tuple[np.ndarray, np.ndarray]) -> list[str]:
+def texts(htmls: list[str], model: Model) -> list[str]:
     """Article text of every page: blocks joined by line feeds, white space within a block as one space."""
     doms = [parse(x, labelled=False) for x in htmls]
     for dom in doms:
         _open_wide_forms(dom)
-    forest = Forest(doms)
-    article = forest.marginals(forest.unary(weights[0]), weights[1])[0] > 0.5
+    article = model.article(model.forest(doms)) > 0.5
     out, start = [], 0
     for dom in doms:
         silent, blocks, block = _silent(dom), [], []
@@ -283,13 +317,13 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     NULL html is an empty page; a page without an article has empty text. Whole pages are read; unclosed, stray and cut tags
     are taken as browsers do. Rows may repeat, other columns are not read, an empty table gives no rows.
     """
-    weights = trained()
+    model = trained()
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                found = texts([x or "" for x in part.column(2).to_pylist()], weights)
+                found = texts([x or "" for x in part.column(2).to_pylist()], model)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(found, pa.string()), pa.array([len(x) for x in found], pa.int64())],
                     names=["page_id", "url", "text", "n_chars"],
