@@ -18,6 +18,7 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from trendloom.llm.tables import hashed_share
 from trendloom.session import stage, stage_path
 
 DICTIONARY_FRAME = 0x184D2A5D
@@ -154,14 +155,15 @@ def write_archives(
     Of pages with equal payloads of at least ``least_revisit`` bytes, the one with the largest id is a response
     and the others revisit it; rows that repeat that largest id are responses too. NULL html is an empty payload,
     NULL ids come before all others, NULL urls are left out. An empty table writes no archive. The dictionary is
-    trained on ``SAMPLE_ROWS`` pages with the smallest hash, ``SAMPLE_BYTES`` of each.
+    trained on about ``SAMPLE_ROWS`` pages, one for each of the ids whose hash is small, ``SAMPLE_BYTES`` of each.
     """
     spark = pages.sparkSession
     folder = stage_path(spark)
     payload = F.coalesce(F.col(f"`{html_col}`").cast("string"), F.lit("")).cast("binary")
     plain = pages.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{url_col}`").cast("string").alias("url"), payload.alias("payload"))
     plain = plain.withColumn("sha", F.sha1("payload"))
-    chosen = plain.orderBy(F.xxhash64("id"), "id").select(F.substring("payload", 1, SAMPLE_BYTES)).limit(SAMPLE_ROWS).collect()
+    heads = plain.select("id", F.substring("payload", 1, SAMPLE_BYTES).alias("head"))
+    chosen = hashed_share(heads, F.col("id"), SAMPLE_ROWS).select("head").collect()
     dictionary = train_dictionary([bytes(r[0]) for r in chosen]) if chosen else b""
     best = (
         plain.filter(F.length("payload") >= least_revisit)
