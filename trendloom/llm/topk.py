@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from trendloom.llm.tables import hashed_share
 from trendloom.session import stage
 
 PIVOTS = 32
@@ -132,7 +133,8 @@ def top_k(
 
     ``is_query`` is a condition on ``id`` that picks the queries; every other row is a candidate, and rows with the query's own id are
     not. Ties go to the smaller id. Vectors of unequal length count as filled up with zeros. The result is
-    exact; pivots come from a sample of ``PIVOT_SAMPLE`` vectors with the smallest hashes and only change the work.
+    exact; pivots come from about ``PIVOT_SAMPLE`` vectors, picked by the hash of their ids, and only change the work. Query rows that
+    repeat an id and its vector are one query; a candidate that stands in several rows is found as often.
     """
     spark = vectors.sparkSession
     plain = quantised(vectors, id_col, vector_col)
@@ -143,7 +145,7 @@ def top_k(
         return spark.createDataFrame([], result)
     square, width = max(square, 1.0), max(width, 1)
     slack = SLACK * square**0.5
-    sample = plain.orderBy(F.xxhash64("id"), "id").limit(PIVOT_SAMPLE).collect()
+    sample = hashed_share(plain, F.col("id"), PIVOT_SAMPLE).collect()
     marks = np.zeros((len(sample), width), np.int64)
     for i, row in enumerate(sample):
         marks[i, : len(row.v)] = row.v
@@ -159,7 +161,7 @@ def top_k(
 
     keyed = plain.mapInArrow(key, "id long, v array<long>, pivot int, dist double")
     index = stage(_pack(keyed, block_rows))
-    chunks = _pack(keyed.filter(is_query), CHUNK_ROWS).withColumnsRenamed({c: f"q_{c}" for c in ("low", "high", "n", "width", "ids", "data")})
+    chunks = _pack(keyed.filter(is_query).dropDuplicates(["id", "v"]), CHUNK_ROWS).withColumnsRenamed({c: f"q_{c}" for c in ("low", "high", "n", "width", "ids", "data")})
     chunks = stage(chunks.withColumn("chunk", F.xxhash64("q_ids", "pivot")))
 
     near = chunks.join(index, "pivot").filter((F.col("low") <= F.col("q_high") + slack) & (F.col("high") >= F.col("q_low") - slack))
