@@ -33,7 +33,9 @@ ALPHA = 1.0
 #: Characters of text that are walked together; a longer text goes alone.
 BATCH_CHARS = 1 << 18
 #: Edges up to which the lattices of units are kept for the batches that follow; beyond, they are built anew.
-KEPT_EDGES = 1 << 19
+KEPT_EDGES = 1 << 21
+#: Places of a path that are looked at first for the sets that turn off it.
+REACH = 2048
 #: -log(-log(u)) of the largest uniform draw, rounded up.
 MOST_NOISE = 37.0
 
@@ -71,9 +73,7 @@ class Vocabulary:
                     state = steps[at]
                 token[state], weight[state] = i, -alpha * math.log1p(-model.get_score(i))
                 self.longest = max(self.longest, len(piece))
-        keys = np.array([s * CODES + c for s, c in steps], np.int64)
-        order = np.argsort(keys)
-        self.keys, self.next = keys[order], np.array(list(steps.values()), np.int64)[order]
+        self._lay(np.array([s * CODES + c for s, c in steps], np.int64), np.array(list(steps.values()), np.int64))
         self.token, self.weight = np.array(token, np.int32), np.array(weight)
 
     def units(self, text: str) -> list[str]:
@@ -82,11 +82,36 @@ class Vocabulary:
             return []
         return [" " + text] if self.crossing else UNIT.findall(" " + text)
 
+    def _lay(self, keys: np.ndarray, states: np.ndarray) -> None:
+        """Lay the steps of the trie out in an open table that is at most an eighth full: a key stands at its hash or in the next free place."""
+        self.shift = U(64 - max(8, int(8 * len(keys) - 1).bit_length()))
+        self.keys = np.full(1 << (64 - int(self.shift)), -1, np.int64)
+        self.next = np.full(len(self.keys), -1, np.int64)
+        for key, state, at in zip(keys.tolist(), states.tolist(), self._home(keys).tolist()):
+            while self.keys[at] >= 0:
+                at = (at + 1) % len(self.keys)
+            self.keys[at], self.next[at] = key, state
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(U) * U(0x9E3779B97F4A7C15) >> self.shift).view(np.int64)
+
     def step(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
         """The next state of each, or -1."""
         key = state * CODES + code
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, self.next[at], -1)
+        at = self._home(key)
+        found, out = self.keys[at], self.next[at]
+        missed = found != key
+        out[missed] = -1
+        rest = np.flatnonzero(missed & (found >= 0))
+        at, key = at[rest], key[rest]
+        while len(rest):
+            at = (at + 1) % len(self.keys)
+            found = self.keys[at]
+            hit = found == key
+            out[rest[hit]] = self.next[at[hit]]
+            on = ~hit & (found >= 0)
+            rest, at, key = rest[on], at[on], key[on]
+        return out
 
 
 #: More than there are characters; from the first such code on, a code stands for a byte.
@@ -243,7 +268,7 @@ def _uniform(seed: int, *numbers) -> np.ndarray:
     return _unit(key)
 
 
-def _below(location: np.ndarray, limit: float, u: np.ndarray) -> np.ndarray:
+def _below(location: np.ndarray, limit: float | np.ndarray, u: np.ndarray) -> np.ndarray:
     """Gumbel values at a location, given that they are below a limit."""
     with np.errstate(over="ignore", divide="ignore"):
         return location - np.log(np.exp(np.minimum(location - limit, 700)) - np.log(u))
@@ -258,24 +283,55 @@ class Path:
         self.edges, self.unit, self.logp, self.value = edges, unit, logp, value
 
 
-def _turns(lattices: Lattices, path: Path, begin: int, barred: tuple, seed: int, number: int, keep: int) -> list[tuple]:
-    """The best ``keep`` sets that turn off the path at or after place ``begin``: (-value, number, place, barred edges)."""
-    stop = begin + 128
-    while True:
-        logp = lattices.logp[path.edges[:stop]]
-        reached = np.cumsum(logp)
-        left = -np.expm1(logp[begin:])
-        if len(left) and barred:
-            left[0] -= np.exp(lattices.logp[list(barred)]).sum()
-        with np.errstate(divide="ignore"):
-            location = np.where(left > 1e-12, (reached - logp)[begin:] + np.log(np.maximum(left, 1e-300)), -np.inf)
-        values = _below(location, path.value, _uniform(seed, -2, number, np.arange(begin, len(logp))))
-        best = np.argsort(-values, kind="stable")[:keep]
-        # No draw lies more than MOST_NOISE above its location, and locations only fall along the path.
-        if stop >= len(path.edges) or (len(best) == keep and reached[-1] + MOST_NOISE < values[best[-1]]):
-            break
-        stop *= 4
-    return [(-values[i], number, begin + int(i), (*(barred if i == 0 else ()), int(path.edges[begin + i]))) for i in best if np.isfinite(values[i])]
+def _turns(lattices: Lattices, paths: list[Path], begin: list[int], barred: list[tuple], seeds: np.ndarray, number: int, keep: int, reach: int = REACH) -> list[list[tuple]]:
+    """For each path the best ``keep`` sets that turn off it at or after place ``begin``: (-value, number, place, barred edges).
+
+    The first ``reach`` places after ``begin`` are looked at for all paths at once, and more only where a later place may be among the best.
+    Sums run along each path alone, so the other paths of a batch change nothing.
+    """
+    out = [[] for _ in paths]
+    live = [i for i, path in enumerate(paths) if len(path.edges)]
+    if not live or keep < 1:
+        return out
+    spans = [paths[i].edges[: begin[i] + reach] for i in live]
+    lengths = np.fromiter(map(len, spans), np.int64, len(live))
+    logp = lattices.logp[np.concatenate(spans)]
+    reached, at = np.empty_like(logp), 0
+    for n in lengths.tolist():
+        np.cumsum(logp[at : at + n], out=reached[at : at + n])
+        at += n
+    first = np.fromiter((begin[i] for i in live), np.int64, len(live))
+    place = np.arange(len(logp)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    if first.any():
+        on = place >= np.repeat(first, lengths)
+        logp, reached, place = logp[on], reached[on], place[on]
+    sizes = lengths - first
+    starts, path_of = np.cumsum(sizes) - sizes, np.repeat(np.arange(len(live)), sizes)
+    left = -np.expm1(logp)
+    for n, i in enumerate(live):
+        if barred[i]:
+            left[starts[n]] -= np.exp(lattices.logp[list(barred[i])]).sum()
+    with np.errstate(divide="ignore"):
+        location = np.where(left > 1e-12, reached - logp + np.log(np.maximum(left, 1e-300)), -np.inf)
+    keys = _key(_key(seeds[live].view(np.int64), np.full(len(live), -2)), np.full(len(live), number))
+    limit = np.fromiter((paths[i].value for i in live), float, len(live))
+    values = _below(location, limit[path_of], _unit(_key(keys[path_of], place)))
+    last = np.full(len(live), -np.inf)
+    for _ in range(keep):
+        last = np.maximum.reduceat(values, starts)
+        hit = np.flatnonzero((values == last[path_of]) & (values > -np.inf))
+        hit = hit[np.diff(path_of[hit], prepend=-1) > 0]
+        for n, at, value in zip(path_of[hit].tolist(), place[hit].tolist(), values[hit].tolist()):
+            i = live[n]
+            out[i].append((-value, number, at, (*(barred[i] if at == begin[i] else ()), int(paths[i].edges[at]))))
+        values[hit] = -np.inf
+    # No draw lies more than MOST_NOISE above its location, and locations only fall along the path.
+    more = [i for n, i in enumerate(live) if lengths[n] < len(paths[i].edges) and reached[starts[n] + sizes[n] - 1] + MOST_NOISE >= last[n]]
+    if more:
+        later = _turns(lattices, [paths[i] for i in more], [begin[i] for i in more], [barred[i] for i in more], seeds[more], number, keep, 16 * reach)
+        for i, turns in zip(more, later):
+            out[i] = turns
+    return out
 
 
 def sample(pool: Pool, texts: list[str], seeds: np.ndarray, k: int) -> tuple[Lattices, list[tuple[list[Path], float]]]:
@@ -295,13 +351,13 @@ def sample(pool: Pool, texts: list[str], seeds: np.ndarray, k: int) -> tuple[Lat
     edges, size = walk(np.arange(len(text_of)), starts, 0)
     ends = np.concatenate([[0], np.cumsum(size)])
     units = np.repeat(place, size)
-    paths, heaps = [], []
+    paths = []
     roots = -np.log(-np.log(_unit(_key(seeds, np.full(len(seeds), -1)))))
     for i in range(len(texts)):
         span = slice(ends[first[i]], ends[first[i + 1]])
         path = Path(edges[span], units[span], float(lattices.logp[edges[span]].sum()), float(roots[i]))
         paths.append([path])
-        heaps.append(sorted(_turns(lattices, path, 0, (), int(seeds[i]), 0, k)))
+    heaps = [sorted(turns) for turns in _turns(lattices, [p for p, in paths], [0] * len(texts), [()] * len(texts), seeds, 0, k)]
     for number in range(1, k):
         chosen = []
         for i, heap in enumerate(heaps):
@@ -324,7 +380,7 @@ def sample(pool: Pool, texts: list[str], seeds: np.ndarray, k: int) -> tuple[Lat
         begin = np.concatenate([np.array(nodes, np.int64)[open_], *[starts[x] for x in later]])
         edges, size = walk(units, begin, number)
         ends = np.concatenate([[0], np.cumsum(size)])
-        at_inner, at_later = 0, int(open_.sum())
+        at_inner, at_later, fresh = 0, int(open_.sum()), []
         for n, (i, value, old, at, barred, edge) in enumerate(chosen):
             rest, rest_units = [np.array([edge])], [old.unit[at : at + 1]]
             if open_[n]:
@@ -339,7 +395,10 @@ def sample(pool: Pool, texts: list[str], seeds: np.ndarray, k: int) -> tuple[Lat
             taken = np.concatenate([old.edges[:at], *rest])
             path = Path(taken, np.concatenate([old.unit[:at], *rest_units]), float(lattices.logp[taken].sum()), value)
             paths[i].append(path)
-            for turn in _turns(lattices, path, at, barred, int(seeds[i]), number, k - number):
+            fresh.append(path)
+        own = [c[0] for c in chosen]
+        for i, turns in zip(own, _turns(lattices, fresh, [c[3] for c in chosen], [c[4] for c in chosen], seeds[own], number, k - number)):
+            for turn in turns:
                 heapq.heappush(heaps[i], turn)
     return lattices, [(p, -h[0][0] if h else -math.inf) for p, h in zip(paths, heaps)]
 
@@ -412,22 +471,18 @@ def decode(rows: DataFrame, tokens: Column, model: str = MODEL, keep: Sequence[s
     schema = T.StructType([given.schema["row"], T.StructField("decoded", T.StringType())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sizes = np.array([len(s) for s in vocabulary.surface])
-        starts, data = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(vocabulary.surface), np.uint8)
+        surface = pa.array(vocabulary.surface, pa.large_binary())
         for batch in batches:
             lists = batch.column("tokens")
-            ids = lists.flatten().to_numpy()
-            counts = np.array([n or 0 for n in lists.value_lengths().to_pylist()], np.int64)
-            out = []
-            ends = np.concatenate([[0], np.cumsum(counts)])
-            for i, valid in enumerate(lists.is_valid().to_pylist()):
-                own = ids[ends[i] : ends[i + 1]]
-                if not valid or not len(own):
-                    out.append("" if valid else None)
-                    continue
-                size = sizes[own]
-                at = np.repeat(starts[own] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-                out.append(data[at].tobytes()[1:].decode("utf-8", "replace"))
+            parts = surface.take(lists.flatten())
+            # Where the bytes of each list begin and end; the bytes of all lists stand in one buffer.
+            counts = pc.fill_null(lists.value_lengths(), 0).to_numpy().astype(np.int64)
+            ends = np.frombuffer(parts.buffers()[1], np.int64, len(parts) + 1)[np.concatenate([[0], np.cumsum(counts)])]
+            # The first byte is the space before the text.
+            begin = np.minimum(ends[:-1] + 1, ends[1:])
+            data = memoryview(parts.buffers()[2]) if len(parts) else memoryview(b"")
+            valid = lists.is_valid().to_pylist()
+            out = [str(data[x:y], "utf-8", "replace") if v else None for x, y, v in zip(begin.tolist(), ends[1:].tolist(), valid)]
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, pa.string())], names=schema.names)
 
     return given.mapInArrow(lean(read), schema).select("row.*", "decoded")
