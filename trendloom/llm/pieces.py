@@ -28,7 +28,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 UNIT = re.compile(" +[^ ]*")
 SEED = 20240611
-SAMPLES = 2
+SAMPLES = 4
 ALPHA = 1.0
 #: Characters of text that are walked together; a longer text goes alone.
 BATCH_CHARS = 1 << 18
@@ -261,13 +261,6 @@ def _unit(key: np.ndarray) -> np.ndarray:
     return ((key >> U(12)).astype(float) + 0.5) * 2.0**-52
 
 
-def _uniform(seed: int, *numbers) -> np.ndarray:
-    key = np.array([seed], np.int64).view(U)
-    for number in numbers:
-        key = _key(key, np.atleast_1d(np.asarray(number, np.int64)))
-    return _unit(key)
-
-
 def _below(location: np.ndarray, limit: float | np.ndarray, u: np.ndarray) -> np.ndarray:
     """Gumbel values at a location, given that they are below a limit."""
     with np.errstate(over="ignore", divide="ignore"):
@@ -359,7 +352,7 @@ def sample(pool: Pool, texts: list[str], seeds: np.ndarray, k: int) -> tuple[Lat
         paths.append([path])
     heaps = [sorted(turns) for turns in _turns(lattices, [p for p, in paths], [0] * len(texts), [()] * len(texts), seeds, 0, k)]
     for number in range(1, k):
-        chosen = []
+        chosen, draws = [], _unit(_key(_key(seeds.view(np.int64), np.full(len(seeds), -3)), np.full(len(seeds), number)))
         for i, heap in enumerate(heaps):
             if len(paths[i]) < number or not heap:
                 continue
@@ -368,7 +361,7 @@ def sample(pool: Pool, texts: list[str], seeds: np.ndarray, k: int) -> tuple[Lat
             node = int(np.searchsorted(lattices.first, old.edges[at], side="right")) - 1
             options = np.array([e for e in range(lattices.first[node], lattices.first[node + 1]) if e not in barred])
             shares = np.cumsum(np.exp(lattices.logp[options]))
-            pick = min(int(np.searchsorted(shares, shares[-1] * _uniform(int(seeds[i]), -3, number)[0], side="right")), len(options) - 1)
+            pick = min(int(np.searchsorted(shares, shares[-1] * draws[i], side="right")), len(options) - 1)
             chosen.append((i, -value, old, at, barred, int(options[pick])))
         if not chosen:
             break
