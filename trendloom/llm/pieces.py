@@ -28,12 +28,12 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 UNIT = re.compile(" +[^ ]*")
 SEED = 20240611
-SAMPLES = 4
+SAMPLES = 2
 ALPHA = 1.0
 #: Characters of text that are walked together; a longer text goes alone.
 BATCH_CHARS = 1 << 18
 #: Edges up to which the lattices of units are kept for the batches that follow; beyond, they are built anew.
-KEPT_EDGES = 1 << 21
+KEPT_EDGES = 1 << 20
 #: Places of a path that are looked at first for the sets that turn off it.
 REACH = 2048
 #: -log(-log(u)) of the largest uniform draw, rounded up.
