@@ -271,6 +271,18 @@ def test_shards(spark, awkward, empty):
     assert sharding.write_shards(empty, stage_path(spark)).count() == 0
 
 
+def test_records_are_not_shuffled_for_their_slots(spark, awkward):
+    written = sharding.write_shards(awkward, stage_path(spark), shards=4, bucket_bytes=2000)
+    least = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        # As with shards too large for Spark to guess that their bucket table is small.
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        plan = sharding.with_slots(written)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", least)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_archives(spark, awkward, empty):
     pages = awkward.selectExpr("doc_id AS page_id", "if(doc_id = 3, 'u\\r\\nv', null) AS url", "text AS html", "kept AS record_type")
     back = warc.read_archives(warc.write_archives(pages, archive_bytes=500)).collect()

@@ -91,14 +91,17 @@ def write_shards(
 
 
 def with_slots(written: DataFrame) -> DataFrame:
-    """Add ``slot``: the place in the shard, gapless from 0. The table of bucket sizes has one row per bucket."""
+    """Add ``slot``: the place in the shard, gapless from 0.
+
+    The table of bucket sizes, one row per bucket, goes to every task, so that the records are not shuffled again.
+    """
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         written.groupBy("shard", "bucket")
         .agg(F.count(F.lit(1)).alias("n"))
         .select(F.col("bucket").alias("of"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     )
-    return written.join(starts, F.col("bucket") == F.col("of")).drop("of").withColumn("slot", F.col("start") + F.col("place")).drop("start")
+    return written.join(F.broadcast(starts), F.col("bucket") == F.col("of")).drop("of").withColumn("slot", F.col("start") + F.col("place")).drop("start")
 
 
 def read_order(written: DataFrame, shards: Sequence[int]) -> DataFrame:
