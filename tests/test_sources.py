@@ -11,6 +11,7 @@ from trendloom.plans.population import population_segment
 from trendloom.schema import TREND_COLUMNS, conform
 from trendloom.session import clean_stages, shared_folder, stage
 from trendloom.sources import landed, readers, sink
+from trendloom.workload import files
 
 
 def write(path, *lines):
@@ -209,3 +210,14 @@ def test_missing_months_come_from_the_listing(spark, tmp_path, rows):
     listed = landed.landed_files(spark, str(tmp_path / "m"))
     assert "content" not in listed._jdf.queryExecution().executedPlan().toString()
     assert rows(listed, "name", "length") == [("traf-ops-012020.csv", 2), ("traf-ops-032020.csv", 2)]
+
+
+def test_a_key_with_many_lines_is_landed_as_several_files(spark, rows, monkeypatch):
+    """Most lines are equal and of one key; every file has its own preamble and header."""
+    monkeypatch.setattr(files, "FILE_LINES", 100, raising=False)
+    df = spark.range(1000).selectExpr("if(id < 40, 'b', if(id = 50, null, 'a')) AS key", "if(id < 900, 7, id) AS n")
+    path = Path(files._land(spark, files._lines(df, df.key, ["Title"]), "x-{}.csv"))
+    found = {p.name: p.read_text().splitlines() for p in path.glob("*.csv")}
+    assert all(lines[:2] == ["Title", "key,n"] and len(lines) < 180 for lines in found.values())
+    assert len(found) == 12 and {name[2] for name in found} == {"a", "b", "_"}
+    assert rows(readers.read_wide(spark, str(path), 2).selectExpr("key", "cast(n AS long)")) == rows(df)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from trendloom.operators import periods
 from trendloom.plans import airport, census, population, transit
-from trendloom.session import stage_path
+from trendloom.session import stage, stage_path
 from trendloom.sources import landed, readers
 from trendloom.sources.lookups import ACS_TOPICS
 from trendloom.workload import plans, views
@@ -20,6 +20,9 @@ from trendloom.workload.views import table, view
 QUERIES: dict = {}
 CHECKS: dict[str, str] = {}
 
+#: Lines of a landed file, about.
+FILE_LINES = 1 << 19
+
 
 def registered(check: str):
     def add(fn):
@@ -45,16 +48,31 @@ def _lines(df: DataFrame, key: Column, above: Sequence[str] = (), header: Sequen
 
 
 def _land(spark: SparkSession, lines: DataFrame, name: str) -> str:
-    """One text file per key, with the key in its name; the folder they are in."""
-    path = stage_path(spark)
-    lines.repartition("key").sortWithinPartitions("key", "place").select("key", "line").write.partitionBy("key").text(path + "/parts")
+    """Text files of about ``FILE_LINES`` lines, with the key in their names; the folder they are in.
+
+    A key with more lines gets several files, each with the lines above the header and the header, so no task holds a whole key. Lines are
+    dealt by their place in the staged files, which equal lines do not share and a repeated task finds again.
+    """
+    path, staged = stage_path(spark), stage(lines)
+    counts = stage(staged.filter("place = 0").groupBy("key").agg(F.count(F.lit(1)).alias("n")))
+    files = counts.select(F.col("key").alias("of"), F.ceil(F.col("n") / FILE_LINES).cast("int").alias("files"))
+    tasks = -(-(counts.agg(F.sum("n")).first()[0] or 1) // FILE_LINES)
+    placed = staged.select("*", F.xxhash64("_metadata.file_name", "_metadata.row_index").alias("row"))
+    part = F.when(F.col("place") < 0, F.sequence(F.lit(0), F.col("files") - 1)).otherwise(F.array(F.pmod("row", "files").cast("int")))
+    # One row per key, of which the driver renames the files below.
+    dealt = placed.join(F.broadcast(files), F.col("key").eqNullSafe(F.col("of"))).select("key", "place", "line", F.explode(part).alias("part"))
+    sorted_ = dealt.repartition(tasks, "key", "part").sortWithinPartitions("key", "part", "place")
+    sorted_.select("key", "part", "line").write.partitionBy("key", "part").text(path + "/parts")
     hadoop = spark._jvm.org.apache.hadoop.fs
     parts = hadoop.Path(path + "/parts")
-    files = parts.getFileSystem(spark._jsc.hadoopConfiguration())
-    files.mkdirs(hadoop.Path(path + "/files"))
-    for status in files.globStatus(hadoop.Path(path + "/parts/key=*/part-*")):
-        key = status.getPath().getParent().getName().removeprefix("key=")
-        files.rename(status.getPath(), hadoop.Path(f"{path}/files/{name.format(key)}"))
+    system = parts.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(hadoop.Path(path + "/files"))
+    stem, dot, kind = name.rpartition(".")
+    for status in system.globStatus(hadoop.Path(path + "/parts/key=*/part=*/part-*")):
+        folder = status.getPath().getParent()
+        number, key = folder.getName().removeprefix("part="), folder.getParent().getName().removeprefix("key=")
+        file = stem.format(key) + ("" if number == "0" else f"-{number}") + dot + kind
+        system.rename(status.getPath(), hadoop.Path(f"{path}/files/{file}"))
     return path + "/files"
 
 
@@ -165,7 +183,7 @@ def transit_from_files(spark, sf):
     path = _land(spark, _lines(wide, F.col("key")), "{}.csv")
     agencies = view(spark, sf, "agencies").select("NTDID", F.lit("80389").alias("UACE"), "MPO_AREA", "AGENCY_NAME")
     operators = readers.read_agencies(spark, _land(spark, _lines(agencies, F.lit("agency")), "transit-{}.csv"))
-    sheets = readers.read_transit(spark, {m: f"{path}/{m}.csv" for m in ("UPT", "VRM", "VRH")})
+    sheets = readers.read_transit(spark, {m: f"{path}/{m}*.csv" for m in ("UPT", "VRM", "VRH")})
     return transit.transit_trends(sheets.drop("key"), operators, home_area="ASIA")
 
 
