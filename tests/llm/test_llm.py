@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tests.oracle import connect, differences
 from trendloom.llm import components, exact_dedup, html_extract, jaccard, language, mixing, pieces, sharding, substring, topk, warc, workload
-from trendloom.session import stage_path
+from trendloom.session import stage, stage_path
 
 FOLDER = "/root/testdata/sf0.001"
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -507,6 +507,39 @@ def test_blocks_that_two_sets_share_across_batches():
         assert [r for b in got for r in zip(b.column("token").to_pylist(), b.column("set").to_pylist())] == want
 
 
+def test_blocks_of_the_same_sets_across_batches():
+    rng = random.Random(5)
+    rows = sorted({(rng.randrange(30) * 7 - 99, rng.choice([-(2**62), -1, 0, 8])) for _ in range(90)})
+    groups = {t: [s for u, s in rows if u == t] for t, _ in rows}
+    for _ in range(30):
+        cuts = sorted(rng.randrange(len(rows) + 1) for _ in range(20))
+        batches = [rows[a:b] for a, b in zip([0, *cuts], [*cuts, len(rows)])]
+        found = jaccard.with_groups(jaccard._columns(["token", "set"], [pa.array([r[i] for r in b], pa.int64()) for i in (0, 1)]) for b in batches)
+        got = [tuple(r.values()) for b in found for r in b.to_pylist()]
+        assert [r[:2] for r in got if r[2] is None] == rows
+        whole = {t: (low, w) for t, low, w in got if w is not None}
+        assert len(got) - len(rows) == len(whole) == len(groups) and all(whole[t][0] == groups[t][0] for t in groups)
+        assert all((whole[t] == whole[u]) == (groups[t] == groups[u]) for t in groups for u in groups)
+
+
+def test_rows_of_blocks_are_shuffled_without_sketches(spark, monkeypatch):
+    """Twelve near copies meet in hundreds of blocks; what is written for these blocks has no sketches, and each set of copies meets once."""
+    rng = random.Random(6)
+    base = _text(rng, 300).split(" ")
+    texts = []
+    for i in range(12):
+        words = list(base)
+        words[rng.randrange(len(words))] = f"changed{i}"
+        texts.append((i, " ".join(words)))
+    written = []
+    monkeypatch.setattr(jaccard, "stage", lambda df: written.append(stage(df)) or written[-1])
+    found = jaccard.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string"), width=5, least=80).collect()
+    assert {r.component_id for r in found} == {0}
+    blocks = [df for df in written if "token" in df.columns]
+    assert not any("k0" in df.schema.simpleString() for df in blocks)
+    assert 2 * blocks[1].count() < blocks[0].filter("whole IS NULL").count()
+
+
 def test_near_duplicates_of_awkward_rows(spark, awkward, empty):
     found = jaccard.near_duplicates(awkward).collect()
     assert len(found) == awkward.count() and all((r.component_id is None) == (r.doc_id is None) for r in found)

@@ -4,7 +4,7 @@ Row blocks are documents of like set sizes, column blocks are classes of n-gram
 of a row block can differ in, and there are more column blocks than that; so two sets that link hold the same n-grams in some block. Blocks
 are known by a hash of their n-grams, which brings together the rows that are equal in one; pairs that are equal in none lie below the bound
 and are never formed. Sizes and parity sketches discard pairs that cannot reach the threshold, and the overlaps of the rest are
-accumulated over the column blocks. Documents with the same set count once.
+accumulated over the column blocks. Documents with the same set count once, and so do blocks in which the same sets meet.
 
 What is asked for is components, not all links: within a group of documents that are equal in a block, every document
 meets the group's centre first, and then only documents still in different components meet each other.
@@ -202,8 +202,33 @@ def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _columns(["token", "set"], [tokens[out], sets[out]])
 
 
+def with_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in order, with ``whole`` NULL, and after them one row per token: its smallest set and in ``whole`` 64 bits for all its sets.
+
+    Only a sum and the smallest set of the batch's last token wait for the next batch, so a token may have any number of rows.
+    """
+    last = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U))
+
+    def ended(tokens: np.ndarray, low: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+        return _columns(["token", "set", "whole"], [tokens, low, mix(sums).view(np.int64)])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        tokens, sets = batch.column("token").to_numpy(), batch.column("set").to_numpy()
+        yield _columns(["token", "set", "whole"], [tokens, sets, pa.nulls(len(sets), pa.int64())])
+        tokens, low = np.concatenate([last[0], tokens]), np.concatenate([last[1], sets])
+        sums = np.concatenate([last[2], mix(sets.view(U) ^ U(0xA0761D6478BD642F))])
+        first = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
+        groups = tokens[first], low[first], np.add.reduceat(sums, first)
+        last = tuple(x[-1:] for x in groups)
+        yield ended(*(x[:-1] for x in groups))
+    if len(last[0]):
+        yield ended(*last)
+
+
 def _meetings(rows: DataFrame, width: int, least: int) -> DataFrame:
-    """(token, set): the sets that are equal in a column block to another set, by the block's token."""
+    """(token, set, whole): the sets that are equal in a column block to another set, by the block's token, as ``with_groups`` gives them."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met = set()
@@ -215,7 +240,7 @@ def _meetings(rows: DataFrame, width: int, least: int) -> DataFrame:
                 yield _columns(["token", "set"], [tokens, sets[docs]])
 
     blocks = rows.mapInArrow(lean(read), "token long, set long").repartition("token").sortWithinPartitions("token", "set")
-    return stage(blocks.mapInArrow(shared, "token long, set long"))
+    return stage(blocks.mapInArrow(lambda batches: with_groups(shared(batches)), "token long, set long, whole long"))
 
 
 def _block_rows(rows: DataFrame, width: int) -> DataFrame:
@@ -293,15 +318,12 @@ def near_duplicates(
     )
     named = rows.filter("id IS NOT NULL")
     hits = _meetings(named, width, least)
-    # The texts that meet others in most blocks are the likeliest centres: what was edited in a copy is equal nowhere.
-    known = sets.join(hits.groupBy(F.col("set").alias("of")).agg(F.count(F.lit(1)).cast("int").alias("met")), F.col("set") == F.col("of")).drop("of")
-    members = stage(hits.join(known, "set").select("token", F.struct((-F.col("met")).alias("rank"), "id", F.col("n").cast("int").alias("n"), *SKETCHES).alias("x")))
     # Of blocks in which the same sets meet, one is enough.
-    lists = members.groupBy("token").agg(
-        F.count(F.lit(1)).alias("rows"), F.min("x.id").alias("low"), F.max("x.id").alias("high"), F.bit_xor(F.xxhash64("x.id")).alias("all")
-    )
-    one_each = lists.groupBy("rows", "low", "high", "all").agg(F.min("token").alias("of"))
-    full = stage(members.join(one_each.select("of"), F.col("token") == F.col("of")).drop("of"))
+    one_each = hits.filter("whole IS NOT NULL").groupBy("set", "whole").agg(F.min("token").alias("of"))
+    full = stage(hits.filter("whole IS NULL").join(one_each.select("of"), F.col("token") == F.col("of"), "left_semi").select("token", "set"))
+    # The texts that meet others in most blocks are the likeliest centres: what was edited in a copy is equal nowhere.
+    known = sets.select("set", "id", "n").join(full.groupBy(F.col("set").alias("of")).agg(F.count(F.lit(1)).cast("int").alias("met")), F.col("set") == F.col("of")).drop("of")
+    full = stage(full.join(known, "set").select("token", F.struct((-F.col("met")).alias("rank"), "id", F.col("n").cast("int").alias("n")).alias("x")))
 
     links = spark.createDataFrame([], "a long, b long")
     labels = None
@@ -322,7 +344,7 @@ def near_duplicates(
         pairs = (
             rest.join(centres, F.col("token") == F.col("of"))
             .select("x", "component", F.col("c.y").alias("y"), F.col("c.y_component").alias("y_component"))
-            .filter((F.col("component") != F.col("y_component")) & _may_link("x", "y", least) & _near("x", "y", least, SKETCHES))
+            .filter((F.col("component") != F.col("y_component")) & _may_link("x", "y", least))
         )
         found = _links(pairs, sets, named, width, least)
         if found.isEmpty():
@@ -330,7 +352,10 @@ def near_duplicates(
         links = stage(links.union(found))
         labels = components(links)
 
-    # What the centres left open: rows outside the centre's component against all rows of other components.
+    # What the centres left open: rows outside the centre's component against all rows of other components. Sketches come in only here and
+    # in _links, so that the many rows of the blocks are shuffled without them.
+    row = sets.select(F.col("id").alias("row"), F.struct("id", "n", *SKETCHES).alias("x"))
+    rest = rest.select("token", "component", "outside", F.col("x.id").alias("of")).join(row, F.col("of") == F.col("row"))
     one = rest.filter("outside").select("token", "x", "component")
     other = rest.select(F.col("token").alias("of"), F.col("x").alias("y"), F.col("component").alias("y_component"))
     possible = (F.col("component") != F.col("y_component")) & _may_link("x", "y", least) & _near("x", "y", least, SKETCHES)
