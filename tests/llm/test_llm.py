@@ -540,6 +540,22 @@ def test_rows_of_blocks_are_shuffled_without_sketches(spark, monkeypatch):
     assert 2 * blocks[1].count() < blocks[0].filter("whole IS NULL").count()
 
 
+def test_large_sets_are_discarded_by_wide_sketches(spark, monkeypatch):
+    """Long texts with a passage in common meet in blocks; the overlap is counted for the linked ones alone, also where sketches differ in length."""
+    rng = random.Random(8)
+    passage = " ".join(f"p{i}" for i in range(300))
+    texts = [" ".join(f"w{rng.random()}" for _ in range(1700)) + " " + passage for _ in range(4)]
+    texts += [texts[0] + "".join(f" e{i}" for i in range(200)), texts[1] + " end"]
+    written = []
+    monkeypatch.setattr(jaccard, "stage", lambda df: written.append(stage(df)) or written[-1])
+    found = {r.doc_id: r.component_id for r in jaccard.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), width=1, least=80).collect()}
+    assert found == {0: 0, 1: 1, 2: 2, 3: 3, 4: 0, 5: 1}
+    close = [df for df in written if df.columns == ["a", "b", "low", "high", "total"]]
+    assert sorted(tuple(r)[:2] for df in close[1::2] for r in df.collect()) == [(0, 4), (1, 5)]
+    sizes = {r.n: len(r.wide) for r in written[0].collect()}
+    assert len(set(sizes.values())) == 2
+
+
 def test_near_duplicates_of_awkward_rows(spark, awkward, empty):
     found = jaccard.near_duplicates(awkward).collect()
     assert len(found) == awkward.count() and all((r.component_id is None) == (r.doc_id is None) for r in found)

@@ -82,6 +82,18 @@ class Incidence:
         words = np.packbits(odd.astype(np.uint8)).view(np.int64).reshape(len(self.sizes), SKETCH)
         return [np.ascontiguousarray(words[:, i]) for i in range(SKETCH)]
 
+    def wide(self) -> pa.Array:
+        """The same with about a bit per token, a power of two of them, for the sets with more tokens than the sketch has bits; NULL for others."""
+        large = self.sizes >= 64 * SKETCH
+        bits = np.where(large, 1 << np.ceil(np.log2(np.maximum(self.sizes, 1))).astype(np.int64), 0)
+        base = np.concatenate([[0], np.cumsum(bits)])
+        used = large[self.owner]
+        owner = self.owner[used]
+        at = base[owner] + (mix(self.tokens[used].view(U) ^ U(0xE7037ED1A0B428DB)) % bits[owner].astype(U)).astype(np.int64)
+        odd = np.bincount(at, minlength=base[-1]) & 1
+        offsets = pa.array((base // 64).astype(np.int32), mask=np.append(~large, False))
+        return pa.ListArray.from_arrays(offsets, pa.array(np.packbits(odd.astype(np.uint8)).view(np.int64)))
+
 
 def _first_met(sets: np.ndarray, met: set[int]) -> np.ndarray:
     """Which rows hold a set that was not met before; the sets are then met."""
@@ -101,15 +113,15 @@ SKETCHES = [f"k{i}" for i in range(SKETCH)]
 
 
 def _survey(rows: DataFrame, width: int) -> DataFrame:
-    """One row per document: id, set, n and sketch."""
+    """One row per document: id, set, n, sketch and wide sketch."""
     names = ["id", "set", "n", *SKETCHES]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole)):
             found = Incidence(batch.column("text"), width)
-            yield _columns(names, [batch.column("id"), found.signatures(), found.sizes, *found.sketches()])
+            yield _columns([*names, "wide"], [batch.column("id"), found.signatures(), found.sizes, *found.sketches(), found.wide()])
 
-    return stage(rows.mapInArrow(lean(read), ", ".join(f"{n} long" for n in names)))
+    return stage(rows.mapInArrow(lean(read), ", ".join(f"{n} long" for n in names) + ", wide array<long>"))
 
 
 @functools.lru_cache(maxsize=32)
@@ -272,10 +284,24 @@ def _near(x: str, y: str, least: int, bits: list[str]) -> Column:
     return apart * (100 + least) <= total * (100 - least)
 
 
+def _near_wide(x: str, y: str, least: int) -> Column:
+    """The same bound from the wide sketches; true where one is NULL. The longer of two is folded to the other's bits."""
+
+    def to(v: str, other: str) -> Column:
+        half = (F.size(v) / 2).cast("int")
+        folded = F.zip_with(F.slice(v, F.lit(1), half), F.slice(v, half + 1, half), lambda p, q: p.bitwiseXOR(q))
+        return F.when(F.size(v) == 2 * F.size(other), folded).otherwise(F.col(v))
+
+    each = F.zip_with(to(x, y), to(y, x), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    apart = F.aggregate(each, F.lit(0), lambda total, n: total + n)
+    return F.coalesce(apart * (100 + least) <= F.col("total") * (100 - least), F.lit(True))
+
+
 def _links(pairs: DataFrame, sets: DataFrame, rows: DataFrame, width: int, least: int) -> DataFrame:
     """Of candidate pairs (x, y: rows that are equal in a block), those that reach the threshold, as links (a, b) of their ids.
 
-    The whole sketches discard most of the others; the overlaps of the rest are summed up over the column blocks.
+    The whole sketches discard most of the others, those of pairs of large sets only the wide ones, as more tokens may differ than a sketch has bits;
+    the overlaps of the rest are summed up over the column blocks.
     """
     met = pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).filter("a <> b").distinct()
     one = sets.select(F.struct("set", "id", "n", *SKETCHES).alias("x"))
@@ -285,6 +311,10 @@ def _links(pairs: DataFrame, sets: DataFrame, rows: DataFrame, width: int, least
         .filter(_near("x", "y", least, SKETCHES))
         .select("a", "b", F.col("x.set").alias("low"), F.col("y.set").alias("high"), (F.col("x.n") + F.col("y.n")).alias("total"))
     )
+    wide = sets.filter("wide IS NOT NULL")
+    wide_x, wide_y = (wide.select(F.col("id").alias(f"of_{v}"), F.col("wide").alias(f"wide_{v}")) for v in "xy")
+    met = close.join(wide_x, F.col("a") == F.col("of_x"), "left").join(wide_y, F.col("b") == F.col("of_y"), "left")
+    close = stage(met.filter(_near_wide("wide_x", "wide_y", least)).select(*close.columns))
     if close.isEmpty():
         return close.select("a", "b")
     wanted = stage(close.select(F.col("a").alias("of")).union(close.select("b")).distinct())
@@ -314,7 +344,7 @@ def near_duplicates(
     rows = docs.select(ident.alias("id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
     every = _survey(rows, width)
     sets = stage(
-        every.filter("n > 0 AND id IS NOT NULL").groupBy("set").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("n", *SKETCHES)])
+        every.filter("n > 0 AND id IS NOT NULL").groupBy("set").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("n", *SKETCHES, "wide")])
     )
     named = rows.filter("id IS NOT NULL")
     hits = _meetings(named, width, least)
